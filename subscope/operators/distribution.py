@@ -3,7 +3,7 @@
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,11 +12,11 @@ from ..schemas import LABEL
 from .longform import (
     GROUP,
     INDEX,
+    SLOT,
     VALUE,
     collect_classes,
-    group_type,
     long_values,
-    same_group,
+    slots_of,
 )
 from .quantiles import Ordered, class_extremes, exact_quantiles, over_classes
 
@@ -25,18 +25,6 @@ from .quantiles import Ordered, class_extremes, exact_quantiles, over_classes
 GRID_BLOCK = 32
 
 
-def _class_frame(
-    df: DataFrame, by: str | None, rows: list[tuple], fields: list[tuple[str, T.DataType]]
-) -> DataFrame:
-    """A small frame keyed by class and column index."""
-    schema = [
-        T.StructField(GROUP, group_type(df, by)),
-        T.StructField(INDEX, T.IntegerType()),
-    ]
-    schema += [T.StructField(name, kind) for name, kind in fields]
-    return df.sparkSession.createDataFrame(rows, T.StructType(schema))
-
-
 def automatic_bins(count: int, low: float, high: float, iqr: float) -> int:
     """Bin count from the narrower of the Freedman-Diaconis and Sturges widths."""
     span = high - low
@@ -93,10 +81,9 @@ def histogram_by_label(
         .groupBy(GROUP, INDEX, "bin")
         .count()
     )
-    spine = _class_frame(
+    spine = slots_of(per_class, label, names).frame(
         df,
-        label,
-        [(g, i, *edges[i], o.count) for (g, i), o in per_class.items()],
+        {(g, i): (*edges[i], o.count) for (g, i), o in per_class.items()},
         [
             ("_low", T.DoubleType()),
             ("_high", T.DoubleType()),
@@ -107,9 +94,12 @@ def histogram_by_label(
     ).withColumn("bin", F.explode(F.sequence(F.lit(0), n_bins - 1)))
     rows = F.coalesce(counted["count"], F.lit(0))
     at = spine["bin"]
-    return spine.join(
-        counted, same_group(spine, counted) & (at == counted["bin"]), "left"
-    ).select(
+    same = (
+        spine[GROUP].eqNullSafe(counted[GROUP])
+        & (spine[INDEX] == counted[INDEX])
+        & (at == counted["bin"])
+    )
+    return spine.join(counted, same, "left").select(
         spine[GROUP].alias(label),
         name_at(names, spine[INDEX]).alias("column"),
         at.alias("bin"),
@@ -151,80 +141,79 @@ def density_by_label(
     whole = over_classes(
         {(r[GROUP], r[INDEX]): Ordered(r["n"], r["low"], r["high"]) for r in stats}
     )
-    rows = []
+    shapes = {}
     for r in stats:
         if r["low"] == r["high"]:
             continue
         column = whole[0, r[INDEX]]
         bandwidth = r["std"] * r["n"] ** (-0.2)
         step = (column.high - column.low) / (grid - 1)
-        rows.append((r[GROUP], r[INDEX], column.low, step, bandwidth, r["n"]))
-    shape = _class_frame(
-        df,
-        label,
-        rows,
-        [(n, T.DoubleType()) for n in ("_low", "_step", "_bandwidth")]
-        + [("_rows", T.LongType())],
+        shapes[r[GROUP], r[INDEX]] = (column.low, step, bandwidth, r["n"])
+    slots = slots_of(((r[GROUP], r[INDEX]) for r in stats), label, names)
+    # One row per (class, column) pair, checked above.
+    shape = F.broadcast(
+        slots.frame(
+            df,
+            shapes,
+            [(n, T.DoubleType()) for n in ("_low", "_step", "_bandwidth")]
+            + [("_rows", T.LongType())],
+        )
     )
 
+    placed = slots.long(df, dict(enumerate(names)))
     if resolution is None:
-        gathered = values.groupBy(GROUP, INDEX, VALUE).agg(F.count(VALUE).alias("_n"))
+        gathered = placed.groupBy(SLOT, VALUE).agg(F.count(VALUE).alias("_n"))
     else:
         spans = df.sparkSession.createDataFrame(
-            [(i, o.low, (o.high - o.low) / resolution) for (_, i), o in whole.items()],
-            f"{INDEX} int, _from double, _span double",
-        )
-        slot = F.when(F.col("_span") == 0, F.lit(0)).otherwise(
-            bin_guess(F.col(VALUE), F.col("_from"), F.col("_span"), F.lit(resolution))
+            [
+                (slots.number(g, i), whole[0, i].low, whole[0, i].high)
+                for g, i in shapes
+            ],
+            f"{SLOT} int, _from double, _to double",
         )
+        width = (F.col("_to") - F.col("_from")) / resolution
+        bin_number = bin_guess(F.col(VALUE), F.col("_from"), width, F.lit(resolution))
         gathered = (
-            values.join(F.broadcast(spans), INDEX)
-            .groupBy(GROUP, INDEX, slot.alias("_slot"))
+            placed.join(F.broadcast(spans), SLOT)
+            .groupBy(SLOT, bin_number.alias("_bin"))
             .agg(F.avg(VALUE).alias(VALUE), F.count(VALUE).alias("_n"))
-            .drop("_slot")
         )
-    placed = gathered.join(F.broadcast(shape), same_group(gathered, shape))
 
     # Each gathered value meets the grid in blocks of neighbouring points. One block is
     # one narrow row with a fixed set of sums, combined before the shuffle.
     blocks = math.ceil(grid / GRID_BLOCK)
-    offset = (
-        F.col("_low") + F.col("_block") * GRID_BLOCK * F.col("_step") - F.col(VALUE)
-    ) / F.col("_bandwidth")
-    pace = F.col("_step") / F.col("_bandwidth")
-    spread = placed.select(
-        gathered[GROUP].alias(GROUP),
-        gathered[INDEX].alias(INDEX),
-        *[F.col(c) for c in ("_n", VALUE, "_low", "_step", "_bandwidth", "_rows")],
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
-    ).select(
-        GROUP,
-        INDEX,
-        *["_block", "_low", "_step", "_bandwidth", "_rows", "_n"],
-        offset.alias("_offset"),
-        pace.alias("_pace"),
+    start = F.col("_low") + F.col("_block") * GRID_BLOCK * F.col("_step")
+    spread = (
+        gathered.join(shape, SLOT)
+        .select(
+            *[SLOT, VALUE, "_n", "_low", "_step", "_bandwidth"],
+            F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
+        )
+        .select(
+            *[SLOT, "_block", "_n"],
+            ((start - F.col(VALUE)) / F.col("_bandwidth")).alias("_offset"),
+            (F.col("_step") / F.col("_bandwidth")).alias("_pace"),
+        )
+    )
+
+    def kernel(k: int) -> Column:
+        distance = F.col("_offset") + k * F.col("_pace")
+        return F.sum(F.col("_n") * F.exp(-0.5 * distance * distance))
+
+    summed = spread.groupBy(SLOT, "_block").agg(
+        *[kernel(k).alias(f"_k{k}") for k in range(GRID_BLOCK)]
     )
-    at = F.col("_offset")
-    kernels = [
-        F.sum(
-            F.col("_n")
-            * F.exp(-0.5 * (at + k * F.col("_pace")) * (at + k * F.col("_pace")))
-        ).alias(f"_k{k}")
-        for k in range(GRID_BLOCK)
-    ]
-    summed = spread.groupBy(
-        GROUP, INDEX, "_block", "_low", "_step", "_bandwidth", "_rows"
-    ).agg(*kernels)
     point = F.col("_block") * GRID_BLOCK + F.col("_k")
     scale = F.col("_rows") * F.col("_bandwidth") * math.sqrt(2 * math.pi)
     return (
         summed.select(
-            *[GROUP, INDEX, "_block", "_low", "_step", "_bandwidth", "_rows"],
+            *[SLOT, "_block"],
             F.posexplode(F.array(*[f"_k{k}" for k in range(GRID_BLOCK)])).alias(
                 "_k", "_sum"
             ),
         )
         .where(point < grid)
+        .join(shape, SLOT)
         .select(
             F.col(GROUP).alias(label),
             name_at(names, F.col(INDEX)).alias("column"),
@@ -268,26 +257,34 @@ def box_stats_by_label(
     else:
         raise ValueError("method is 'exact' or 'approx'")
 
-    rows = []
-    for (group, index), (count, (q1, median, q3)) in boxes.items():
+    shapes = {}
+    for key, (count, (q1, median, q3)) in boxes.items():
         reach = 1.5 * (q3 - q1)
-        rows.append((group, index, count, q1, median, q3, q1 - reach, q3 + reach))
-    shape = _class_frame(
-        df,
-        label,
-        rows,
-        [("count", T.LongType())]
-        + [(n, T.DoubleType()) for n in ("q1", "median", "q3", "_floor", "_ceiling")],
+        shapes[key] = (count, q1, median, q3, q1 - reach, q3 + reach)
+    slots = slots_of(shapes, label, names)
+    # One row per (class, column) pair, checked when the quartiles were collected.
+    shape = F.broadcast(
+        slots.frame(
+            df,
+            shapes,
+            [("count", T.LongType())]
+            + [
+                (n, T.DoubleType()) for n in ("q1", "median", "q3", "_floor", "_ceiling")
+            ],
+        )
     )
     inside = F.col(VALUE).between(F.col("_floor"), F.col("_ceiling"))
+    fences = shape.select(SLOT, "_floor", "_ceiling")
     return (
-        values.join(F.broadcast(shape), same_group(values, shape))
-        .groupBy(shape[GROUP], shape[INDEX], "count", "q1", "median", "q3")
+        slots.long(df, dict(enumerate(names)))
+        .join(F.broadcast(fences), SLOT)
+        .groupBy(SLOT)
         .agg(
-            F.min(F.when(inside, F.col(VALUE))).alias("_low"),
-            F.max(F.when(inside, F.col(VALUE))).alias("_high"),
+            F.min(F.when(inside, F.col(VALUE))).alias("_lowest"),
+            F.max(F.when(inside, F.col(VALUE))).alias("_highest"),
             F.count_if(~inside).alias("outliers"),
         )
+        .join(shape, SLOT)
         .select(
             F.col(GROUP).alias(label),
             name_at(names, F.col(INDEX)).alias("column"),
@@ -295,8 +292,8 @@ def box_stats_by_label(
             "q1",
             "median",
             "q3",
-            F.least("_low", "q1").alias("whisker_low"),
-            F.greatest("_high", "q3").alias("whisker_high"),
+            F.least("_lowest", "q1").alias("whisker_low"),
+            F.greatest("_highest", "q3").alias("whisker_high"),
             "outliers",
         )
     )

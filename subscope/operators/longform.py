@@ -7,7 +7,10 @@ exceeds ``spark.sql.codegen.maxFields``. Partial aggregation reduces the explode
 inside the scan task, so only groups are shuffled.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import cached_property
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -18,6 +21,7 @@ from ..functions import finite, plain
 GROUP = "_group"
 INDEX = "_index"
 VALUE = "_value"
+SLOT = "_slot"
 
 # Most (class, column) pairs a per-class statistic brings to the driver.
 MAX_CLASS_COLUMNS = 100_000
@@ -35,13 +39,73 @@ def long_values(
     return df.select(group.alias(GROUP), F.posexplode(values).alias(INDEX, VALUE))
 
 
-def group_type(df: DataFrame, by: str | None) -> T.DataType:
-    return T.IntegerType() if by is None else df.schema[by].dataType
+@dataclass(frozen=True)
+class Slots:
+    """One integer for every pair of a known class and a column.
 
+    Once the classes are known, the passes that look something up per class and column
+    join on this integer, which Spark keeps in a compact hash table.
+    """
 
-def same_group(left: DataFrame, right: DataFrame) -> Column:
-    """Join condition on class and column; a NULL class matches itself."""
-    return left[GROUP].eqNullSafe(right[GROUP]) & (left[INDEX] == right[INDEX])
+    by: str | None
+    classes: tuple[Any, ...]
+    width: int
+
+    @cached_property
+    def _positions(self) -> dict[Any, int]:
+        return {group: k for k, group in enumerate(self.classes)}
+
+    def number(self, group: Any, index: int) -> int:
+        return self._positions[group] * self.width + index
+
+    def long(self, df: DataFrame, columns: Mapping[int, str]) -> DataFrame:
+        """Rows (``_slot``, ``_value``) of some of the columns, without missing values."""
+        values = F.array(*[finite(plain(c)) for c in columns.values()])
+        offsets = F.array(*[F.lit(i) for i in columns])
+        first = F.lit(0)
+        if self.by is not None:
+            known = self._frame(
+                df,
+                [(g, k * self.width) for k, g in enumerate(self.classes)],
+                [("_first", T.IntegerType())],
+            )
+            # One row per class, checked when the classes were collected.
+            same = plain(self.by).eqNullSafe(known[GROUP])
+            df = df.join(F.broadcast(known), same)
+            first = F.col("_first")
+        return (
+            df.select(first.alias("_first"), F.posexplode(values).alias("_at", VALUE))
+            .where(F.col(VALUE).isNotNull())
+            .select(
+                (F.col("_first") + F.element_at(offsets, F.col("_at") + 1)).alias(SLOT),
+                VALUE,
+            )
+        )
+
+    def frame(
+        self,
+        df: DataFrame,
+        rows: Mapping[tuple[Any, int], tuple],
+        fields: Sequence[tuple[str, T.DataType]],
+    ) -> DataFrame:
+        """A small frame with the slot, class and column index of each row."""
+        return self._frame(
+            df,
+            [(g, self.number(g, i), i, *row) for (g, i), row in rows.items()],
+            [(SLOT, T.IntegerType()), (INDEX, T.IntegerType()), *fields],
+        )
+
+    def _frame(self, df, rows, fields):
+        kind = T.IntegerType() if self.by is None else df.schema[self.by].dataType
+        schema = [T.StructField(GROUP, kind)]
+        schema += [T.StructField(name, of_type) for name, of_type in fields]
+        return df.sparkSession.createDataFrame(rows, T.StructType(schema))
+
+
+def slots_of(
+    keys: Iterable[tuple[Any, int]], by: str | None, columns: Sequence[str]
+) -> Slots:
+    return Slots(by, tuple(dict.fromkeys(group for group, _ in keys)), len(columns))
 
 
 def collect_classes(grouped: DataFrame) -> list[Row]:

@@ -14,16 +14,16 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .longform import (
     GROUP,
     INDEX,
+    SLOT,
     VALUE,
+    Slots,
     collect_classes,
-    group_type,
     long_values,
-    same_group,
+    slots_of,
 )
 
 BINS = 4096
@@ -104,8 +104,10 @@ def exact_quantiles(
 
     ``extremes`` saves the first pass where they are known already.
     """
-    values = long_values(df, columns, by).where(F.col(VALUE).isNotNull())
-    found = class_extremes(values) if extremes is None else extremes
+    found = extremes
+    if found is None:
+        found = class_extremes(long_values(df, columns, by))
+    slots = slots_of(found, by, columns)
     open_ranks: dict[_Interval, set[int]] = {}
     for key, ordered in found.items():
         interval = _Interval(key, ordered.low, ordered.high, 0)
@@ -113,7 +115,7 @@ def exact_quantiles(
             for rank in ordered.positions(p)[:2]:
                 _place(ordered, interval, ordered.count, rank, open_ranks)
     while open_ranks:
-        open_ranks = _narrow(df, values, by, found, open_ranks, bins)
+        open_ranks = _narrow(df, columns, slots, found, open_ranks, bins)
     return found
 
 
@@ -135,8 +137,8 @@ def _place(
 
 def _narrow(
     df: DataFrame,
-    values: DataFrame,
-    by: str | None,
+    columns: Sequence[str],
+    slots: Slots,
     found: dict[tuple[Any, int], Ordered],
     open_ranks: dict[_Interval, set[int]],
     bins: int,
@@ -148,41 +150,29 @@ def _narrow(
         scale = 1.0 if math.isfinite(interval.high - interval.low) else 0.5
         start = interval.low * scale
         width = interval.high * scale - start
-        group, index = interval.key
-        rows.append(
-            (i, group, index, interval.low, interval.high, scale, start, width)
-        )
+        slot = slots.number(*interval.key)
+        rows.append((i, slot, interval.low, interval.high, scale, start, width))
         targets += [(i, rank - interval.before) for rank in open_ranks[interval]]
 
     spark = df.sparkSession
     bounds = spark.createDataFrame(
         rows,
-        T.StructType(
-            [
-                T.StructField("_id", T.IntegerType()),
-                T.StructField(GROUP, group_type(df, by)),
-                T.StructField(INDEX, T.IntegerType()),
-            ]
-            + [
-                T.StructField(n, T.DoubleType())
-                for n in ("_low", "_high", "_scale", "_start", "_width")
-            ]
-        ),
+        f"_id int, {SLOT} int, _low double, _high double, _scale double, "
+        "_start double, _width double",
     )
     wanted = spark.createDataFrame(targets, "_id int, _offset long")
 
     # Both small frames have at most a few rows per (class, column) pair, and the number
-    # of pairs is checked when the extremes are collected.
+    # of pairs is checked when the extremes are collected. Columns whose ranks are all
+    # settled are not read again.
+    still_read = sorted({interval.key[1] for interval in intervals})
+    values = slots.long(df, {i: columns[i] for i in still_read})
     share = (F.col(VALUE) * F.col("_scale") - F.col("_start")) / F.col("_width")
     counted = (
-        values.join(
-            F.broadcast(bounds),
-            same_group(values, bounds) & values[VALUE].between(bounds._low, bounds._high),
-        )
+        values.join(F.broadcast(bounds), SLOT)
+        .where(F.col(VALUE).between(F.col("_low"), F.col("_high")))
         .select(
-            "_id",
-            F.least(F.floor(share * bins), F.lit(bins - 1)).alias("_bin"),
-            values[VALUE].alias(VALUE),
+            "_id", F.least(F.floor(share * bins), F.lit(bins - 1)).alias("_bin"), VALUE
         )
         .groupBy("_id", "_bin")
         .agg(

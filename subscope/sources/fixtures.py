@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import EVENT_SCHEMA
+from .tables import balanced
 
 # Raw customer rows, from lineitem: NULL flags and minutes, outliers beyond three sigma,
 # rows without any minutes or calls, and one flag that is set on fewer than a tenth.
@@ -105,4 +106,4 @@ def encoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(F.col("event_id") % 50 == 0, F.lit("{bad")).otherwise(
         F.to_json(F.struct(*fields))
     )
-    return event_rows(spark, sf_dir).select(value.alias("value"))
+    return balanced(event_rows(spark, sf_dir)).select(value.alias("value"))
