@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric_columns, plain, yes_flag
 from ..schemas import FLAGS, LABEL
+from ..sources.local import local_frame
 from .profile import column_stats
 
 
@@ -112,8 +113,8 @@ class SigmaCapModel:
     def save(self, spark: SparkSession, path: str) -> None:
         """Write the bounds, one row per column."""
         rows = [(b.column, b.mean, b.lower, b.upper) for b in self.bounds]
-        frame = spark.createDataFrame(
-            rows, "column string, mean double, lower double, upper double"
+        frame = local_frame(
+            spark, rows, "column string, mean double, lower double, upper double"
         )
         frame.coalesce(1).write.mode("overwrite").parquet(path)
 

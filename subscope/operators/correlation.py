@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import finite, numeric_columns, plain
+from ..sources.local import local_frame
 from .longform import INDEX, VALUE, long_values
 
 PAIR_SCHEMA = (
@@ -31,7 +32,7 @@ def correlation_matrix(
     """
     names = numeric_columns(df, columns)
     if not names:
-        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
+        return local_frame(df.sparkSession, [], PAIR_SCHEMA)
     first = long_values(df, names).groupBy(INDEX)
     base = {
         r[INDEX]: r
@@ -50,7 +51,7 @@ def correlation_matrix(
         for i in range(len(names))
         for j in range(len(names))
     ]
-    return df.sparkSession.createDataFrame(rows, PAIR_SCHEMA)
+    return local_frame(df.sparkSession, rows, PAIR_SCHEMA)
 
 
 def _centred_sums(

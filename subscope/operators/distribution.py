@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ..functions import bin_checked, bin_guess, name_at, numeric_columns
 from ..schemas import LABEL
+from ..sources.local import local_frame
 from .longform import (
     GROUP,
     INDEX,
@@ -18,7 +19,7 @@ from .longform import (
     long_values,
     slots_of,
 )
-from .quantiles import Ordered, class_extremes, exact_quantiles, over_classes
+from .quantiles import Summary, class_summary, exact_quantiles, over_classes
 
 # Grid points evaluated together in the density; a power of two below the field limit of
 # whole-stage code generation.
@@ -42,18 +43,19 @@ def histogram_by_label(
     label: str = LABEL,
     columns: Iterable[str] | None = None,
     bins: int | str = "auto",
+    summary: Summary | None = None,
 ) -> DataFrame:
     """Counts and densities per class over bin edges shared by all classes.
 
     Densities integrate to 1 within each class. Empty bins are part of the result.
-    ``bins="auto"`` derives the number of bins from the whole column.
+    ``bins="auto"`` derives the number of bins from the whole column. ``summary``, the
+    :func:`class_summary` of these columns, saves a pass where it is known already.
     """
     names = numeric_columns(df, columns, {label})
-    values = long_values(df, names, label).where(F.col(VALUE).isNotNull())
-    per_class = class_extremes(values)
+    per_class = summary or class_summary(df, names, label)
     whole = over_classes(per_class)
     if bins == "auto":
-        exact_quantiles(df, names, (0.25, 0.75), extremes=whole)
+        exact_quantiles(df, names, (0.25, 0.75), summary=whole)
     edges = {}
     for (_, index), o in whole.items():
         number = bins
@@ -65,13 +67,17 @@ def histogram_by_label(
         edges[index] = (low, high, (high - low) / number, int(number))
 
     edge_fields = "_low double, _high double, _width double, _bins int"
-    by_column = df.sparkSession.createDataFrame(
-        [(i, *e) for i, e in edges.items()], f"{INDEX} int, {edge_fields}"
+    by_column = local_frame(
+        df.sparkSession,
+        [(i, *e) for i, e in edges.items()],
+        f"{INDEX} int, {edge_fields}",
     )
     low, width, n_bins = F.col("_low"), F.col("_width"), F.col("_bins")
     # One row per column: the bound is the schema.
     counted = (
-        values.join(F.broadcast(by_column), INDEX)
+        long_values(df, names, label)
+        .where(F.col(VALUE).isNotNull())
+        .join(F.broadcast(by_column), INDEX)
         .withColumn("_guess", bin_guess(F.col(VALUE), low, width, n_bins))
         .select(
             GROUP,
@@ -118,6 +124,7 @@ def density_by_label(
     columns: Iterable[str] | None = None,
     grid: int = 200,
     resolution: int | None = None,
+    summary: Summary | None = None,
 ) -> DataFrame:
     """Gaussian kernel density per class on a grid shared by all classes.
 
@@ -129,27 +136,17 @@ def density_by_label(
     class by the bins instead of the distinct values.
     """
     names = numeric_columns(df, columns, {label})
-    values = long_values(df, names, label).where(F.col(VALUE).isNotNull())
-    stats = collect_classes(
-        values.groupBy(GROUP, INDEX).agg(
-            F.count(VALUE).alias("n"),
-            F.stddev_samp(VALUE).alias("std"),
-            F.min(VALUE).alias("low"),
-            F.max(VALUE).alias("high"),
-        )
-    )
-    whole = over_classes(
-        {(r[GROUP], r[INDEX]): Ordered(r["n"], r["low"], r["high"]) for r in stats}
-    )
+    per_class = summary or class_summary(df, names, label)
+    whole = over_classes(per_class)
     shapes = {}
-    for r in stats:
-        if r["low"] == r["high"]:
+    for key, o in per_class.items():
+        if o.low == o.high:
             continue
-        column = whole[0, r[INDEX]]
-        bandwidth = r["std"] * r["n"] ** (-0.2)
+        column = whole[0, key[1]]
+        bandwidth = o.std * o.count ** (-0.2)
         step = (column.high - column.low) / (grid - 1)
-        shapes[r[GROUP], r[INDEX]] = (column.low, step, bandwidth, r["n"])
-    slots = slots_of(((r[GROUP], r[INDEX]) for r in stats), label, names)
+        shapes[key] = (column.low, step, bandwidth, o.count)
+    slots = slots_of(per_class, label, names)
     # One row per (class, column) pair, checked above.
     shape = F.broadcast(
         slots.frame(
@@ -164,7 +161,8 @@ def density_by_label(
     if resolution is None:
         gathered = placed.groupBy(SLOT, VALUE).agg(F.count(VALUE).alias("_n"))
     else:
-        spans = df.sparkSession.createDataFrame(
+        spans = local_frame(
+            df.sparkSession,
             [
                 (slots.number(g, i), whole[0, i].low, whole[0, i].high)
                 for g, i in shapes
@@ -230,6 +228,7 @@ def box_stats_by_label(
     columns: Iterable[str] | None = None,
     method: str = "exact",
     accuracy: int = 10_000,
+    summary: Summary | None = None,
 ) -> DataFrame:
     """Quartiles, whiskers and outlier counts per class.
 
@@ -238,17 +237,21 @@ def box_stats_by_label(
     """
     names = numeric_columns(df, columns, {label})
     quartiles = (0.25, 0.5, 0.75)
-    values = long_values(df, names, label).where(F.col(VALUE).isNotNull())
     if method == "exact":
         boxes = {
             key: (o.count, [o.quantile(p) for p in quartiles])
-            for key, o in exact_quantiles(df, names, quartiles, label).items()
+            for key, o in exact_quantiles(
+                df, names, quartiles, label, summary
+            ).items()
         }
     elif method == "approx":
         boxes = {
             (r[GROUP], r[INDEX]): (r["n"], r["q"])
             for r in collect_classes(
-                values.groupBy(GROUP, INDEX).agg(
+                long_values(df, names, label)
+                .where(F.col(VALUE).isNotNull())
+                .groupBy(GROUP, INDEX)
+                .agg(
                     F.count(VALUE).alias("n"),
                     F.percentile_approx(VALUE, list(quartiles), accuracy).alias("q"),
                 )

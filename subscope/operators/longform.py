@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import finite, plain
+from ..sources.local import local_frame
 
 GROUP = "_group"
 INDEX = "_index"
@@ -99,7 +100,7 @@ class Slots:
         kind = T.IntegerType() if self.by is None else df.schema[self.by].dataType
         schema = [T.StructField(GROUP, kind)]
         schema += [T.StructField(name, of_type) for name, of_type in fields]
-        return df.sparkSession.createDataFrame(rows, T.StructType(schema))
+        return local_frame(df.sparkSession, rows, T.StructType(schema))
 
 
 def slots_of(

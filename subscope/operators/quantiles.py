@@ -15,6 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.local import local_frame
 from .longform import (
     GROUP,
     INDEX,
@@ -36,6 +37,7 @@ class Ordered:
     count: int
     low: float
     high: float
+    std: float | None = None
     at_rank: dict[int, float] = field(default_factory=dict)
 
     def positions(self, probability: float) -> tuple[int, int, float]:
@@ -50,6 +52,10 @@ class Ordered:
         return start + (self.at_rank[above] - start) * part
 
 
+# Order statistics by class and column index.
+Summary = dict[tuple[Any, int], Ordered]
+
+
 @dataclass(frozen=True)
 class _Interval:
     key: tuple[Any, int]
@@ -58,28 +64,30 @@ class _Interval:
     before: int
 
 
-def class_extremes(values: DataFrame) -> dict[tuple[Any, int], Ordered]:
-    """Count, minimum and maximum per (class, column index) of a long frame."""
+def class_summary(
+    df: DataFrame, columns: Sequence[str], by: str | None = None
+) -> Summary:
+    """Count, extremes and deviation per class and column, without missing values."""
     grouped = (
-        values.where(F.col(VALUE).isNotNull())
+        long_values(df, columns, by)
+        .where(F.col(VALUE).isNotNull())
         .groupBy(GROUP, INDEX)
         .agg(
             F.count(VALUE).alias("n"),
             F.min(VALUE).alias("low"),
             F.max(VALUE).alias("high"),
+            F.stddev_samp(VALUE).alias("std"),
         )
     )
     return {
-        (r[GROUP], r[INDEX]): Ordered(r["n"], r["low"], r["high"])
+        (r[GROUP], r[INDEX]): Ordered(r["n"], r["low"], r["high"], r["std"])
         for r in collect_classes(grouped)
     }
 
 
-def over_classes(
-    per_class: dict[tuple[Any, int], Ordered],
-) -> dict[tuple[Any, int], Ordered]:
+def over_classes(per_class: Summary) -> Summary:
     """The extremes of each column over all classes, under the group of no class."""
-    merged: dict[tuple[Any, int], Ordered] = {}
+    merged: Summary = {}
     for (_, index), o in per_class.items():
         known = merged.get((0, index))
         merged[0, index] = (
@@ -97,16 +105,17 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: Iterable[float],
     by: str | None = None,
-    extremes: dict[tuple[Any, int], Ordered] | None = None,
+    summary: Summary | None = None,
     bins: int = BINS,
-) -> dict[tuple[Any, int], Ordered]:
+) -> Summary:
     """Per (class, column index) the order statistics behind the given probabilities.
 
-    ``extremes`` saves the first pass where they are known already.
+    ``summary`` saves the first pass where it is known already; ranks found are added to
+    it.
     """
-    found = extremes
+    found = summary
     if found is None:
-        found = class_extremes(long_values(df, columns, by))
+        found = class_summary(df, columns, by)
     slots = slots_of(found, by, columns)
     open_ranks: dict[_Interval, set[int]] = {}
     for key, ordered in found.items():
@@ -139,7 +148,7 @@ def _narrow(
     df: DataFrame,
     columns: Sequence[str],
     slots: Slots,
-    found: dict[tuple[Any, int], Ordered],
+    found: Summary,
     open_ranks: dict[_Interval, set[int]],
     bins: int,
 ) -> dict[_Interval, set[int]]:
@@ -155,15 +164,16 @@ def _narrow(
         targets += [(i, rank - interval.before) for rank in open_ranks[interval]]
 
     spark = df.sparkSession
-    bounds = spark.createDataFrame(
+    bounds = local_frame(
+        spark,
         rows,
         f"_id int, {SLOT} int, _low double, _high double, _scale double, "
         "_start double, _width double",
     )
-    wanted = spark.createDataFrame(targets, "_id int, _offset long")
+    wanted = local_frame(spark, targets, "_id int, _offset long")
 
     # Both small frames have at most a few rows per (class, column) pair, and the number
-    # of pairs is checked when the extremes are collected. Columns whose ranks are all
+    # of pairs is checked when the summary is collected. Columns whose ranks are all
     # settled are not read again.
     still_read = sorted({interval.key[1] for interval in intervals})
     values = slots.long(df, {i: columns[i] for i in still_read})

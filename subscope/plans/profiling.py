@@ -4,6 +4,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..functions import numeric_columns
 from ..operators.correlation import correlation_lower
 from ..operators.distribution import (
     box_stats_by_label,
@@ -16,6 +17,7 @@ from ..operators.profile import (
     label_distribution,
     report_summary,
 )
+from ..operators.quantiles import class_summary
 from ..schemas import LABEL
 from ..sources.tables import read_parquet, write_parquet
 
@@ -31,14 +33,20 @@ def report_tables(
     box_method: str = "exact",
 ) -> dict[str, DataFrame]:
     """The report as one frame per table."""
+    names = numeric_columns(df, None, {label})
+    summary = class_summary(df, names, label)
     return {
         "summary": report_summary(df, label),
         "column_profile": column_profile(df),
         "label_distribution": label_distribution(df, label),
         "category_by_label": category_by_label(df, label),
-        "histogram_by_label": histogram_by_label(df, label),
-        "density_by_label": density_by_label(df, label, resolution=resolution),
-        "box_stats_by_label": box_stats_by_label(df, label, method=box_method),
+        "histogram_by_label": histogram_by_label(df, label, summary=summary),
+        "density_by_label": density_by_label(
+            df, label, resolution=resolution, summary=summary
+        ),
+        "box_stats_by_label": box_stats_by_label(
+            df, label, method=box_method, summary=summary
+        ),
         "correlation_lower": correlation_lower(df),
     }
 

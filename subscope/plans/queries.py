@@ -25,7 +25,7 @@ from ..operators import (
 )
 from ..schemas import FEATURES, ID, LABEL
 from ..session import scratch_path
-from ..sources import fixtures, run_log, tables
+from ..sources import fixtures, local, run_log, tables
 from ..streaming import decode, scoring, sinks, sources
 from . import etl, profiling, streams, training
 
@@ -368,7 +368,7 @@ def auc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col(LABEL).cast("double").alias(LABEL), F.col("total_intl_minutes")
     )
     area = metrics.auc_roc(scored, score="total_intl_minutes")
-    return comparable(spark.createDataFrame([(area,)], "auc_roc double"))
+    return comparable(local.local_frame(spark, [(area,)], "auc_roc double"))
 
 
 def _small_model(train_df: DataFrame) -> modeling.Trained:
@@ -389,7 +389,8 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         grid=SMALL_GRID,
         folds=2,
     )
-    return spark.createDataFrame(
+    return local.local_frame(
+        spark,
         [(int(s["maxDepth"]), s["f1"], s["f1_std"]) for s in trained.scores],
         "max_depth int, f1 double, f1_std double",
     )

@@ -10,6 +10,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .local import local_frame
+
 LOG = logging.getLogger(__name__)
 
 RUN_SCHEMA = (
@@ -36,7 +38,7 @@ def run_records(
     now = datetime.now(timezone.utc)
     rows = [_row(run_id, now, "param", k, v) for k, v in params.items()]
     rows += [_row(run_id, now, "metric", k, v) for k, v in metrics.items()]
-    return spark.createDataFrame(rows, RUN_SCHEMA).coalesce(1)
+    return local_frame(spark, rows, RUN_SCHEMA).coalesce(1)
 
 
 def append_run(

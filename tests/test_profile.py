@@ -1,0 +1,140 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from subscope.functions import categorical_columns, numeric_columns
+from subscope.operators.profile import (
+    category_by_label,
+    column_profile,
+    column_stats,
+    label_distribution,
+    label_rate,
+    null_counts,
+    report_summary,
+)
+from subscope.sources.tables import balanced, preview
+
+SCHEMA = "customer_id string, area_code string, ok boolean, churn int, a int, b double"
+ROWS = [
+    ("x1", "408", True, 1, 1, 1.5),
+    ("x2", "408", False, 0, None, math.nan),
+    ("x3", None, None, 0, 3, 4.5),
+    ("x4", "415", True, 0, 5, None),
+]
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    return spark.createDataFrame(ROWS, SCHEMA)
+
+
+def by(frame, key="column"):
+    return {r[key]: r for r in frame.collect()}
+
+
+def test_selection_by_type(df):
+    assert numeric_columns(df) == ["churn", "a", "b"]
+    assert numeric_columns(df, ["b", "absent", "area_code"]) == ["b"]
+    assert categorical_columns(df, None, {"customer_id"}) == ["area_code", "ok"]
+
+
+def test_every_numeric_type_is_selected(spark):
+    kinds = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal(9,2)")
+    df = spark.range(1).selectExpr(
+        *[f"cast(id as {k}) as c{i}" for i, k in enumerate(kinds)], "'t' as text"
+    )
+    assert numeric_columns(df) == [f"c{i}" for i in range(len(kinds))]
+
+
+def test_profile_leaves_missing_values_out(df):
+    p = by(column_profile(df))
+    assert p["a"].asDict() == {
+        "column": "a",
+        "mean": 3.0,
+        "std": 2.0,
+        "min": 1.0,
+        "max": 5.0,
+        "null_count": 1,
+    }
+    assert (p["b"]["mean"], p["b"]["null_count"]) == (3.0, 2)
+
+
+def test_stats_of_small_tables(spark):
+    one = column_stats(spark.createDataFrame([(4.0,)], "v double")).first()
+    assert (one["mean"], one["std"], one["row_count"]) == (4.0, None, 1)
+    none = column_stats(spark.createDataFrame([], "v double")).collect()
+    assert none == []
+
+
+def test_column_names_with_dots(spark):
+    df = spark.createDataFrame([(1.0,), (3.0,)], "`a.b` double")
+    assert column_profile(df).first()["mean"] == 2.0
+    assert null_counts(df).first().asDict() == {"column": "a.b", "null_count": 0}
+
+
+def test_null_counts_of_all_types(df):
+    counts = {r["column"]: r["null_count"] for r in null_counts(df).collect()}
+    assert counts == {
+        "customer_id": 0,
+        "area_code": 1,
+        "ok": 1,
+        "churn": 0,
+        "a": 1,
+        "b": 1,
+    }
+
+
+def test_label_shares(spark, df):
+    assert {(r["churn"], r["count"]) for r in label_distribution(df).collect()} == {
+        (0, 3),
+        (1, 1),
+    }
+    assert label_rate(df).first()["label_rate"] == 25.0
+    assert label_rate(df.limit(0)).first().asDict() == {
+        "total_records": 0,
+        "label_rate": None,
+    }
+
+
+def test_categories_keep_null_and_leave_ids_out(df):
+    rows = {
+        (r["column"], r["category"], r["churn"]): r["count"]
+        for r in category_by_label(df).collect()
+    }
+    assert rows["area_code", "408", 1] == 1
+    assert rows["area_code", None, 0] == 1
+    assert rows["ok", "true", 0] == 1
+    assert {k[0] for k in rows} == {"area_code", "ok"}
+    assert category_by_label(df, columns=["a"]).collect() == []
+
+
+def test_top_categories_keep_all_their_classes(spark):
+    df = spark.createDataFrame(
+        [("p", 0)] * 5 + [("p", 1)] + [("q", 0)] * 3 + [("r", 1)] * 2,
+        "c string, churn int",
+    )
+    rows = category_by_label(df, top=2).collect()
+    assert {(r["category"], r["churn"], r["count"]) for r in rows} == {
+        ("p", 0, 5),
+        ("p", 1, 1),
+        ("q", 0, 3),
+    }
+
+
+def test_report_summary(df):
+    row = report_summary(df).first()
+    assert row["numeric_columns"] == "churn, a, b"
+    assert row["categorical_columns"] == "area_code, ok"
+
+
+def test_preview_and_balance(spark, tmp_path):
+    df = spark.range(100)
+    assert preview(df).count() == 5
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    assert balanced(one).rdd.getNumPartitions() == cores
+    wide = spark.range(0, 1000, 1, cores + 1)
+    assert balanced(wide) is wide
+    assert balanced(one).agg(F.sum("id")).first()[0] == sum(range(1000))
