@@ -22,7 +22,7 @@ def _parser() -> argparse.ArgumentParser:
     etl.add_argument("input")
     etl.add_argument("output")
     etl.add_argument("--bounds", help="folder for the fitted bounds")
-    etl.add_argument("--stage", action="store_true", help="parse the text only once")
+    etl.add_argument("--stage", help="folder for a Parquet copy, to parse text once")
     etl.add_argument("--include-label", action="store_true")
 
     profile = jobs.add_parser("profile", help="tables of the data profile")

@@ -251,7 +251,7 @@ def oracle() -> dict[str, str]:
         + _names(
             _single(c, c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
         )
-        + ", l_returnflag, l_linestatus, epoch_us(l_shipdate) as l_shipdate"
+        + ", l_returnflag, l_linestatus, cast(l_shipdate as varchar) as l_shipdate"
     )
     null_parts = [f"count(*) filter (where {c} is null) as {c}" for c in _RAW]
     rule = "case when total_intl_minutes >= 10 and voice_mail_plan = 0 then 1 else 0 end"
@@ -352,6 +352,8 @@ def oracle() -> dict[str, str]:
         "count(*) filter (where churn = 1) as n1, count(*) filter (where churn = 0) as n0 "
         "from ranked) "
         f"select {_single('(r1 - n1 * (n1 + 1) / 2e0) / (n1 * n0)', 'auc_roc')} from sums",
+        "batch_scores": f"{_processed()} select customer_id, 1 as has_class, "
+        f"1 as has_probability from processed where {valid}",
         "model_roundtrip": f"{_processed()} select count(*) as rows, "
         f"cast(0 as bigint) as different from processed where {valid}",
         "scored_stream": f"{_processed()}, known as (select distinct 'cust_' || "

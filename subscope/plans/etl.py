@@ -5,18 +5,22 @@ from typing import Any
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import SigmaCapModel, SigmaCapper, clean
+from ..operators.cleaning import SigmaCapModel, SigmaCapper, binarize
 from ..operators.features import add_features
 from ..sources.tables import balanced, read_csv, read_parquet, write_parquet
-from ..session import scratch_path
 
 
 def process(
-    raw: DataFrame, include_label: bool = False
+    raw: DataFrame, include_label: bool = False, spread: bool = False
 ) -> tuple[DataFrame, SigmaCapModel]:
-    """Cleaned table with features, and the fitted bounds."""
-    cleaned, model = clean(raw, capper=SigmaCapper(include_label=include_label))
-    return add_features(cleaned), model
+    """Cleaned table with features, and the fitted bounds.
+
+    ``spread=True`` gives a small table read by few tasks to all cores, for a result
+    that is written and read again.
+    """
+    model = SigmaCapper(include_label=include_label).fit(binarize(raw))
+    source = balanced(raw) if spread else raw
+    return add_features(model.transform(binarize(source))), model
 
 
 def run_etl(
@@ -24,19 +28,19 @@ def run_etl(
     input_path: str,
     output_path: str,
     bounds_path: str | None = None,
-    stage: bool = False,
+    stage_path: str | None = None,
     include_label: bool = False,
 ) -> dict[str, Any]:
     """Read, clean, derive and write; returns the figures of the run.
 
-    The input is read twice, for the statistics and for the result. ``stage=True`` first
-    copies it to Parquet in the shared folder, so that text is parsed only once.
+    The input is read twice, for the statistics and for the result. With ``stage_path``
+    it is first copied there as Parquet: the text is parsed once, and the statistics
+    read only the numeric columns. The copy is the caller's to keep or remove.
     """
     raw = read_csv(spark, input_path)
-    if stage:
-        staged = scratch_path(spark, "raw")
-        write_parquet(raw, staged)
-        raw = read_parquet(spark, staged)
+    if stage_path:
+        write_parquet(raw, stage_path)
+        raw = read_parquet(spark, stage_path)
     return write_processed(spark, raw, output_path, bounds_path, include_label)
 
 
@@ -48,7 +52,7 @@ def write_processed(
     include_label: bool = False,
 ) -> dict[str, Any]:
     """The part of the job after the scan."""
-    processed, model = process(balanced(raw), include_label)
+    processed, model = process(raw, include_label, spread=True)
     # The figures come from the writing job itself, without another pass.
     seen = Observation()
     observed = processed.observe(

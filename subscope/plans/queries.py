@@ -69,7 +69,7 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = tables.read_parquet(spark, f"{sf_dir}/lineitem.parquet")
-    shipped = F.unix_micros(F.col("l_shipdate").cast("timestamp"))
+    shipped = F.col("l_shipdate").cast("string")
     return comparable(df.withColumn("l_shipdate", shipped))
 
 
@@ -265,10 +265,9 @@ def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "events")
     fixtures.encoded_events(spark, sf_dir).repartition(4).write.text(path)
     source = sources.read_text_files(spark, path, max_files_per_trigger=1)
-    return _drained(spark, source).groupBy("value").count().select(
-        F.when(F.col("value") == "{bad", "malformed").otherwise("event").alias("kind"),
-        "count",
-    ).groupBy("kind").agg(F.sum("count").alias("records"))
+    kind = F.when(F.col("value") == "{bad", "malformed").otherwise("event")
+    written = _drained(spark, source).groupBy(kind.alias("kind"))
+    return written.agg(F.count(F.lit(1)).alias("records"))
 
 
 def stream_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,11 +407,17 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A saved model, loaded again, scores the whole table."""
+    """A saved model, loaded again, scores every complete row of the table."""
     path = scratch_path(spark, "model")
     df = processed(spark, sf_dir)
     modeling.save_model(_small_model(modeling.split_by_hash(df)[0]).model, path)
-    return scoring.customer_scores(modeling.load_model(path), df)
+    scores = scoring.customer_scores(modeling.load_model(path), df)
+    a_class = F.col("prediction").isin(0.0, 1.0)
+    return scores.select(
+        ID,
+        a_class.cast("int").alias("has_class"),
+        F.col("probability").between(0.0, 1.0).cast("int").alias("has_probability"),
+    )
 
 
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,7 +47,8 @@ def test_parquet_overwrite_partition_and_cache(spark, tmp_path):
 @pytest.mark.parametrize("stage", [False, True])
 def test_etl_job(spark, csv, tmp_path, stage):
     out, bounds = str(tmp_path / "out"), str(tmp_path / "bounds")
-    figures = run_etl(spark, csv, out, bounds, stage=stage)
+    stage_path = str(tmp_path / "staged") if stage else None
+    figures = run_etl(spark, csv, out, bounds, stage_path)
     df = spark.read.parquet(out)
     assert figures["rows"] == df.count() == 6000
     assert figures["rows_without_minutes"] == df.where("daytime_ratio is null").count()
