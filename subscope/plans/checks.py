@@ -69,7 +69,7 @@ def _values(columns) -> str:
     )
 
 
-def _all_processed(include_doubles=True) -> str:
+def _all_processed() -> str:
     parts = [c if c in (*_TEXT, "churn") else _single(c, c) for c in _RAW]
     parts += [_single(c, c) for c in FEATURES[17:]]
     return f"{_processed()} select {_names(parts)} from processed"
