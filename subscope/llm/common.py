@@ -4,8 +4,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import plain
 from ..session import scratch_path
@@ -31,7 +33,7 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
     A single longer value is a range of its own; no value is cut.
     """
     values = batch.column(column)
-    sizes = np.asarray(pa.compute.binary_length(values).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(values).fill_null(0), dtype=np.int64)
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if i > start and total + size > limit:
@@ -46,18 +48,14 @@ def by_pieces(
     df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, column: str = "text"
 ) -> DataFrame:
     """Apply ``work`` to pieces of each batch; it returns columns by name."""
-    from pyspark.sql.types import StructType
-
     fields = [f.name for f in StructType.fromDDL(schema).fields]
 
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, column):
                 out = work(piece)
-                yield pa.RecordBatch.from_arrays(
-                    [x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x) for x in (out[f] for f in fields)],
-                    names=fields,
-                )
+                columns = [x if isinstance(x, pa.Array) else pa.array(x) for x in map(out.get, fields)]
+                yield pa.RecordBatch.from_arrays(columns, names=fields)
 
     return df.mapInArrow(run, schema)
 

@@ -1,8 +1,9 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import quality_rules
+from . import bpe, quality_rules
 
 QUERIES = {
+    "op9_bpe": bpe.op9_bpe,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
