@@ -1,10 +1,13 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, quality_rules
+from . import bpe, quality_rules, warc
 
 QUERIES = {
+    "op4_warc": warc.op4_warc,
     "op9_bpe": bpe.op9_bpe,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc": warc.OP4_SQL,
+}
