@@ -1,13 +1,15 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, quality_rules, warc
+from . import bpe, quality_rules, topk, warc
 
 QUERIES = {
     "op4_warc": warc.op4_warc,
+    "op5_topk": topk.op5_topk,
     "op9_bpe": bpe.op9_bpe,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc": warc.OP4_SQL,
+    "op5_topk": topk.OP5_SQL,
 }
