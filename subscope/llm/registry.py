@@ -1,11 +1,12 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, quality_rules, topk, warc
+from . import bpe, quality_model, quality_rules, topk, warc
 
 QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_topk": topk.op5_topk,
     "op9_bpe": bpe.op9_bpe,
+    "op6_quality_model": quality_model.op6_quality_model,
     "op7_quality_rules": quality_rules.op7_quality_rules,
 }
 
