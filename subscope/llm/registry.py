@@ -1,10 +1,11 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, quality_model, quality_rules, topk, warc
+from . import bpe, quality_model, quality_rules, secrets, topk, warc
 
 QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_topk": topk.op5_topk,
+    "op8_secrets": secrets.op8_secrets,
     "op9_bpe": bpe.op9_bpe,
     "op6_quality_model": quality_model.op6_quality_model,
     "op7_quality_rules": quality_rules.op7_quality_rules,
