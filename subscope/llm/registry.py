@@ -1,8 +1,9 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, pii, quality_model, quality_rules, secrets, topk, warc
+from . import bpe, hmm, pii, quality_model, quality_rules, secrets, topk, warc
 
 QUERIES = {
+    "op10_hmm": hmm.op10_hmm,
     "op2_pii": pii.op2_pii,
     "op4_warc": warc.op4_warc,
     "op5_topk": topk.op5_topk,
