@@ -69,7 +69,7 @@ def checkpointed(df: DataFrame, name: str) -> DataFrame:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, rows: int, keep=None
+    docs: DataFrame, labels: DataFrame, label: str, rows: int, keep=None, values=(0, 1)
 ) -> DataFrame:
     """Up to ``rows`` documents with an unambiguous label: doc_id, text, label.
 
@@ -79,7 +79,7 @@ def labelled_sample(
     are broadcast: at most ``rows`` pairs of numbers.
     """
     known = labels.select(plain("doc_id").cast("long").alias("doc_id"), plain(label).cast("int").alias("label"))
-    known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(*values))
     if keep is not None:
         known = known.where(keep)
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))

@@ -70,11 +70,13 @@ def _seen_before(batch: WordBatch) -> np.ndarray:
 
 @dataclass
 class Sparse:
-    """Feature numbers and values of a batch; ``first[d]:first[d + 1]`` belong to text d."""
+    """Feature numbers and values of a batch; ``first[d]:first[d + 1]`` belong to text d,
+    which has ``words[d]`` words."""
 
     index: np.ndarray
     value: np.ndarray
     first: np.ndarray
+    words: np.ndarray
 
 
 def features(column: pa.Array, bits: int = BITS) -> Sparse:
@@ -109,7 +111,7 @@ def features(column: pa.Array, bits: int = BITS) -> Sparse:
     norm = np.sqrt(np.bincount(doc, value * value, minlength=n))
     value = value * FEATURE_SCALE / np.maximum(norm, 1e-9)[doc]
     value[counts == 0] = 1.0
-    return Sparse(index, value, np.searchsorted(doc, np.arange(n + 1)))
+    return Sparse(index, value, np.searchsorted(doc, np.arange(n + 1)), lower.counts.astype(np.int64))
 
 
 def sigmoid(x):

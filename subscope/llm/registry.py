@@ -1,8 +1,9 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, hmm, jaccard, pii, quality_model, quality_rules, secrets, topk, warc
+from . import bpe, hmm, jaccard, mixing, pii, quality_model, quality_rules, secrets, topk, warc
 
 QUERIES = {
+    "op3_mixing": mixing.op3_mixing,
     "op1_jaccard": jaccard.op1_jaccard,
     "op10_hmm": hmm.op10_hmm,
     "op2_pii": pii.op2_pii,
