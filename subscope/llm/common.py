@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from ..functions import plain
 from ..session import scratch_path
@@ -60,6 +60,42 @@ def by_pieces(
     return df.mapInArrow(run, schema)
 
 
+def fresh_names(df: DataFrame, names: list[str]) -> list[str]:
+    """The names with underscores in front until no column of the frame has them."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def appended(
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str, id_col: str = "doc_id", text_col: str = "text"
+) -> tuple[DataFrame, dict[str, str]]:
+    """All columns of the frame and those that ``work`` gives for each row's id and text.
+
+    The second result maps the names of ``schema`` to the names they got, which avoid those
+    of the frame. Whole rows stream by, so nothing has to be joined back.
+    """
+    wanted = StructType.fromDDL(schema)
+    names = fresh_names(df, [f.name for f in wanted.fields])
+    own = fresh_names(df, ["row_id", "row_text"])
+    read = df.withColumns({own[0]: plain(id_col).cast("long"), own[1]: plain(text_col).cast("string")})
+    out = StructType([*df.schema.fields, *(StructField(n, f.dataType) for n, f in zip(names, wanted.fields))])
+    kept = df.columns
+
+    def run(batches):
+        for batch in batches:
+            for piece in pieces(batch, own[1]):
+                found = work(pa.RecordBatch.from_arrays([piece.column(own[0]), piece.column(own[1])], names=["doc_id", "text"]))
+                new = [x if isinstance(x, pa.Array) else pa.array(x) for x in (found[f.name] for f in wanted.fields)]
+                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *new], names=[*kept, *names])
+
+    return read.mapInArrow(run, out), dict(zip([f.name for f in wanted.fields], names))
+
+
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, read back: later steps start from it."""
     spark = df.sparkSession

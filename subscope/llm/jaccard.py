@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import plain
 from . import common
 from .graph import connected
 from .words import mix, windows, words_of
@@ -393,6 +394,28 @@ def jaccard_groups(docs: DataFrame, rule: Rule) -> DataFrame:
     return out.unionByName(nameless)
 
 
+def without_near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """One document of each group: the one with the smallest id, with all its columns.
+
+    Of rows that repeat an id the smallest text stays; rows without an id all stay. The ids
+    that go, and those that repeat, are tables of their own, so that Spark broadcasts them
+    only if their known size allows it.
+    """
+    groups = jaccard_groups(docs, rule).where("doc_id is not null")
+    verdict = groups.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    special = common.checkpointed(verdict.where("n > 1 or first <> doc_id"), "special-ids")
+    id_name = common.fresh_names(docs, ["row_id"])[0]
+    named = docs.withColumn(id_name, plain("doc_id").cast("long"))
+    ids = special.select(F.col("doc_id").alias(id_name))
+    out = named.join(ids, id_name, "left_anti").drop(id_name)
+    again = special.where("n > 1 and first = doc_id").select(F.col("doc_id").alias(id_name))
+    repeated = named.join(again, id_name, "left_semi")
+    place = common.fresh_names(named, ["place"])[0]
+    order = W.partitionBy(plain(id_name)).orderBy(plain("text"), F.xxhash64(*(plain(c) for c in docs.columns)))
+    first = repeated.withColumn(place, F.row_number().over(order)).where(plain(place) == 1).drop(place, id_name)
+    return out.select(*map(plain, docs.columns)).unionByName(first.select(*map(plain, docs.columns)))
+
+
 OP1_RULE = Rule(width=4, num=85, den=100)
 
 

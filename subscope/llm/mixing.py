@@ -14,7 +14,8 @@ tokens, which makes a step of length one safe and makes rates depend on posterio
 Defined cases: a NULL text is empty, has no tokens and the posterior of an empty text; NULL
 ids are returned as NULL and get a rate like any other; repeated rows count one by one;
 without labels all domains are equally likely; contradictory labels are not learned from;
-targets for domains that no document can fill are met as far as possible; an empty table
+a domain with fewer tokens than its share is taken whole, none is repeated to fill it; an
+empty table
 gives no rows. Extra columns are ignored.
 """
 
@@ -78,8 +79,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, bits: int =
 MEMBERS = "doc_id long, n_tokens long, posterior array<double>"
 
 
-def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
-    """doc_id, words and posterior over the domains of each whole text."""
+def _posteriors(weights: np.ndarray):
+    """The work on a piece: words and posterior over the domains of each whole text."""
     bits = int(weights.shape[1]).bit_length() - 1
 
     def work(piece: pa.RecordBatch) -> dict:
@@ -94,14 +95,19 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
         offsets = pa.array(np.arange(0, (n + 1) * k, k, dtype=np.int32))
         return {"doc_id": piece.column("doc_id"), "n_tokens": x.words, "posterior": pa.ListArray.from_arrays(offsets, pa.array(posterior.ravel()))}
 
-    return common.by_pieces(common.id_and_text(docs), work, MEMBERS)
+    return work
 
 
-def rate_of(steps: list[np.ndarray]) -> Column:
+def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+    """doc_id, words and posterior over the domains of each whole text."""
+    return common.by_pieces(common.id_and_text(docs), _posteriors(weights), MEMBERS)
+
+
+def rate_of(steps: list[np.ndarray], posterior: str = "posterior") -> Column:
     """The rate after some steps: each moves against a gradient, then back to zero or more."""
     rate = F.lit(1.0)
     for step in steps:
-        move = sum((F.col("posterior")[k] * float(x) for k, x in enumerate(step)), F.lit(0.0))
+        move = sum((plain(posterior)[k] * float(x) for k, x in enumerate(step)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - move)
     return rate
 
@@ -127,12 +133,16 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) ->
 
 
 def reachable(members: DataFrame, shares: np.ndarray) -> np.ndarray:
-    """Target tokens with these shares, as many as need no domain more than once."""
+    """Target tokens in these proportions without repeating a domain.
+
+    The domain with the largest share is taken whole and sets the total; a domain that
+    holds less than its share of it is taken whole as well.
+    """
     k = len(shares)
     sums = members.agg(*(F.sum(F.col("n_tokens") * F.col("posterior")[i]).alias(f"t{i}") for i in range(k))).first()
     held = np.array([sums[f"t{i}"] or 0.0 for i in range(k)])
-    wanted = shares > 0
-    return shares * (held[wanted] / shares[wanted]).min() if wanted.any() else shares * 0.0
+    largest = int(shares.argmax())
+    return np.minimum(shares * held[largest] / shares[largest], held)
 
 
 def copies(rate: Column, row_hash: Column) -> Column:
@@ -142,16 +152,35 @@ def copies(rate: Column, row_hash: Column) -> Column:
     return F.when(F.abs(rate - near) <= SNAP, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
 
 
+def _steps(members: DataFrame, targets: dict[tuple[int, int], float]) -> list[np.ndarray]:
+    shares = np.array([targets.get(d, 0.0) for d in DOMAINS], dtype=np.float64)
+    return fit_rates(members, reachable(members, shares / shares.sum()))
+
+
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> DataFrame:
     """doc_id, n_tokens, posterior, rate and copies of each document."""
     members = common.checkpointed(memberships(docs, fit(docs, labels)), "memberships")
-    shares = np.array([targets.get(d, 0.0) for d in DOMAINS], dtype=np.float64)
-    shares = shares / shares.sum()
-    steps = fit_rates(members, reachable(members, shares))
-    out = members.withColumn("rate", rate_of(steps))
+    out = members.withColumn("rate", rate_of(_steps(members, targets)))
     return out.withColumn("copies", copies(F.col("rate"), F.xxhash64("doc_id", "n_tokens")))
 
 
+def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> DataFrame:
+    """The documents as often as their rates say, with all their columns.
+
+    Rates are fitted on the table of memberships and applied where the texts are, so no
+    text is shuffled.
+    """
+    weights = fit(docs, labels)
+    members = common.checkpointed(memberships(docs, weights), "memberships")
+    steps = _steps(members, targets)
+    rows, names = common.appended(docs, _posteriors(weights), MEMBERS)
+    times = copies(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
+    number = common.fresh_names(rows, ["number"])[0]
+    # explode leaves out rows with no copies.
+    many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return many.select(*map(plain, docs.columns))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixed(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
     names = [F.col("posterior")[i].alias(f"p_quality{q}_toxic{t}") for i, (q, t) in enumerate(DOMAINS)]

@@ -21,6 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import plain
 from . import common
 
 # Fixed values of the base rules.
@@ -158,6 +159,55 @@ def spans(docs: DataFrame, prior_odds: float = PRIOR_ODDS, id_col: str = "doc_id
     return found.select("doc_id", *KINDS[:3], random.alias("random"))
 
 
+MASK = "[SECRET]"
+
+
+def masked(docs: DataFrame, prior_odds: float = PRIOR_ODDS, mask: str = MASK) -> DataFrame:
+    """The documents with the secret part of every span replaced, all other columns kept.
+
+    The models come from a first pass over all texts; the second one finds the spans again
+    beside the text, so that no text is shuffled. A column n_chars is counted anew.
+    """
+    ratios = train(common.checkpointed(others(scanned(docs)), "secret-matches"))
+    arrays = common.fresh_names(docs, ["secret_spans"])[0]
+    found = _found_in(F.coalesce(plain("text").cast("string"), F.lit("")), ratios, prior_odds)
+    df = docs.withColumn(arrays, found)
+    text = F.when(F.size(plain(arrays)) > 0, _replaced(plain("text"), plain(arrays), mask)).otherwise(plain("text"))
+    df = df.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        count = F.when(F.size(plain(arrays)) > 0, F.length(plain("text"))).otherwise(plain("n_chars"))
+        df = df.withColumn("n_chars", count.cast(docs.schema["n_chars"].dataType))
+    return df.select(*map(plain, docs.columns))
+
+
+def _found_in(text: Column, ratios: list[float], prior_odds: float) -> Column:
+    """Start and end of all secret parts of a text, by start."""
+    low = F.lower(text)
+    keyed = low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api")
+    assign = F.filter(_located(text, ASSIGN, keyed, 2), lambda s: F.length(s["text"]) >= LEAST_ASSIGNED)
+    base = F.concat(assign, _located(text, ACCESS, text.contains("AKIA")), _located(text, HEX))
+    test = _likely_random(ratios, prior_odds)
+    # Spans of the method may overlap base ones here: what is covered twice is masked once.
+    random = F.filter(_located(text, CANDIDATE), test)
+    part = F.transform(F.concat(base, random), lambda s: F.struct((s["end"] - F.length(s["text"])).alias("start"), s["end"].alias("end")))
+    return F.array_sort(part)
+
+
+def _replaced(text: Column, parts: Column, mask: str) -> Column:
+    def step(state: Column, part: Column) -> Column:
+        between = F.substring(text, (state["at"] + 1).cast("int"), (part["start"] - state["at"]).cast("int"))
+        new = part["start"] >= state["at"]
+        shown = F.when(new, F.concat(state["out"], between, F.lit(mask))).otherwise(state["out"])
+        return F.struct(F.greatest(state["at"], part["end"]).alias("at"), shown.alias("out"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+    def rest(state: Column) -> Column:
+        return F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
+
+    return F.aggregate(parts, start, step, rest)
+
+
 def digests(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
