@@ -1,0 +1,58 @@
+import numpy as np
+import pytest
+
+from subscope.llm import topk
+
+
+def brute(rows, k, every):
+    clean = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    out = []
+    for q in {i for i, _ in clean if i % every == 0}:
+        x = max(v for i, v in clean if i == q)
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in clean if i != q)
+        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def search(spark, rows, k=5, every=5, **kw):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, row_block int, x string" if len(rows) and len(rows[0]) == 4 else "vec_id long, embedding array<float>")
+    usable = topk.usable(df)
+    queries = usable.where(f"vec_id % {every} = 0").groupBy("vec_id").agg({"x": "max"}).withColumnRenamed("max(x)", "x")
+    return sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(usable, queries, k, **kw).collect())
+
+
+@pytest.mark.parametrize("scale", [1.0, 0.02, 30.0])
+def test_equals_brute_force(spark, scale):
+    rng = np.random.default_rng(1)
+    rows = [(int(i), [float(x) for x in rng.normal(size=9) * scale]) for i in range(300)]
+    rows += [(1000 + i, rows[7][1]) for i in range(40)]  # a common vector
+    assert search(spark, rows, block_rows=64, block_queries=10) == brute(rows, 5, 5)
+
+
+def test_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0]), (5, None), (10, [1.0, None]), (15, [nan, 1.0]), (20, [inf, 1.0]), (25, []), (30, [3.0]),
+        (35, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (0, [1.0, 2.0]), (40, [-0.3, 0.0]),
+    ]
+    rows = [(i, v, 1, "x") for i, v in rows]
+    assert search(spark, rows) == brute([r[:2] for r in rows], 5, 5)
+    assert search(spark, rows[:1]) == []
+    assert search(spark, []) == []
+
+
+def test_slices_and_threshold():
+    rng = np.random.default_rng(2)
+    data = rng.integers(-90, 90, size=(500, 6))
+    block = topk.SlicedBlock(data)
+    for _ in range(20):
+        query = rng.integers(-90, 90, size=6)
+        score, error = block.coarse_score(query)
+        bits = np.stack([np.unpackbits(s.view(np.uint8), bitorder="little")[:500] for s in score]).astype(np.int64)
+        coarse = (bits * (1 << np.arange(len(score)))[:, None]).sum(axis=0)
+        exact = data @ query
+        gap = exact - (coarse << block.shift)
+        assert gap.max() - gap.min() <= error
+        assert block.threshold(score, block.full, 7) == np.sort(coarse)[-7]
+        for bound in (0, 5, int(np.median(coarse)), int(coarse.max()) + 1):
+            assert block.at_least(score, block.full, bound).tolist() == np.flatnonzero(coarse >= bound).tolist()
