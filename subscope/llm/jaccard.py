@@ -9,11 +9,12 @@ enough others remain, and do give one otherwise, so that no pair is lost.
 
 The smallest node of a key is its pivot; all others of the key are paired with it, not with
 each other. Two nodes of one key are both in the family of its pivot, so what remains after
-the pivot pairs are only pairs with a node that is not similar to its pivot. These are
-compared inside tiles of a family: the bit counts of parity bitmaps bound the overlap from
-above, whole blocks at a time, and the pairs that pass are intersected exactly. No pairs of
-a group are emitted but those that the bound lets through, and every link between different
-sets is found or its ends are joined through the pivot.
+the pivot pairs are only pairs of a family that links do not join yet. These are compared
+inside tiles of a family: the bit counts of parity bitmaps bound the overlap from above,
+whole blocks at a time, and pairs that pass are intersected exactly. A first round takes
+just the closest pairs that would join groups, a second one every pair between groups that
+are then still apart. So no group of copies is expanded into pairs, and every link between
+different sets is found, or its ends are joined by others.
 
 Shuffled per document: a number of keys that is a fixed share of its set size, pre-combined
 per task; sets travel only for nodes that share a key, and for pairs within the bound.
@@ -300,57 +301,89 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def family_pairs(pairs: DataFrame, links: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs within a pivot's family, one of them not similar to the pivot, that may link."""
-    linked = links.select(F.col("a").alias("pivot"), F.col("b").alias("node"), F.lit(False).alias("open"))
-    flagged = pairs.join(linked, ["pivot", "node"], "left").withColumn("open", F.coalesce("open", F.lit(True)))
-    flagged = common.checkpointed(flagged, "families")
-    sizes = flagged.groupBy("pivot").agg(F.count(F.lit(1)).alias("g"), F.max("open").alias("any_open"))
-    # Blocks keep a family of any size from meeting in one task.
-    sizes = common.checkpointed(
-        sizes.where("any_open and g > 1").select("pivot", F.ceil(F.col("g") / FAMILY_BLOCK).cast("int").alias("blocks")), "family-sizes"
-    )
+def _families(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of all families whose nodes are not all of one group, dealt out in tiles.
+
+    ``groups`` holds node, label of nodes that links already join; others stand alone. The
+    pivot itself is no row: all pairs with it have been tested. Blocks keep a family of any
+    size from meeting in one task.
+    """
+    label = F.coalesce("label", "node").alias("label")
+    named = common.checkpointed(pairs.join(groups, "node", "left").select("pivot", "node", label), "families")
+    sizes = named.groupBy("pivot").agg(F.count(F.lit(1)).alias("g"), F.min("label").alias("low"), F.max("label").alias("high"))
+    blocks = F.ceil(F.col("g") / FAMILY_BLOCK).cast("int").alias("blocks")
+    sizes = common.checkpointed(sizes.where("low <> high").select("pivot", blocks), "family-sizes")
     block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    rows = flagged.join(sizes, "pivot").withColumn("block", block)
+    rows = named.join(sizes, "pivot").withColumn("block", block)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("pivot", "node", "open", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    rows = rows.join(sets.select("node", "n", "bitmap"), "node")
+    tile = (F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    return rows.select("pivot", "node", "label", "block", *tile).join(sets.select("node", "n", "bitmap"), "node")
+
+
+def _by_tile(batches, compare):
+    """Apply ``compare`` to the rows of each tile, which come one after the other."""
+    waiting = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if waiting is None else pa.concat_tables([waiting, table])
+        keys = np.stack([table.column(c).to_numpy() for c in ("pivot", "i", "j")])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        starts = [0, *cuts.tolist()]
+        for a, b in zip(starts[:-1], starts[1:]):
+            if b - a > 1:
+                yield from compare(table.slice(a, b - a))
+        waiting = table.slice(starts[-1])
+    if waiting is not None and len(waiting) > 1:
+        yield from compare(waiting)
+
+
+def family_pairs(pairs: DataFrame, groups: DataFrame, sets: DataFrame, rule: Rule, every: bool) -> DataFrame:
+    """Pairs a, b of a family, of different groups, that bit counts do not rule out.
+
+    With ``every`` all such pairs; otherwise only enough of them to join what they would
+    join, the ones with the fewest differing bits first: fewer than a tile has nodes.
+    """
 
     def compare(table: pa.Table):
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-        opened = table.column("open").to_numpy(zero_copy_only=False)
+        _, group = np.unique(table.column("label").to_numpy(), return_inverse=True)
         block, bits = table.column("block").to_numpy(), _words64(table.column("bitmap").combine_chunks())
         across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        asked = np.flatnonzero(opened)
-        for at in range(0, len(asked), BLOCK_ROWS):
-            own = asked[at : at + BLOCK_ROWS]
-            differ = np.bitwise_count(bits[own][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-            near = _within(rule, n[own][:, None], n[None, :], differ)
-            near &= ~opened[None, :] | (node[own][:, None] < node[None, :])
+        for at in range(0, len(node), BLOCK_ROWS):
+            own = np.arange(at, min(at + BLOCK_ROWS, len(node)))
+            near = group[own][:, None] != group[None, :]
+            near &= np.arange(len(node))[None, :] > own[:, None]
             if across:
                 near &= block[own][:, None] != block[None, :]
+            if not near.any():
+                continue
+            differ = np.bitwise_count(bits[own][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            near &= _within(rule, n[own][:, None], n[None, :], differ)
             x, y = np.nonzero(near)
+            if not every:
+                x, y = _joining(x, y, differ, own, group)
             if len(x):
                 a, b = node[own[x]], node[y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    def run(batches):
-        waiting = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if waiting is None else pa.concat_tables([waiting, table])
-            keys = np.stack([table.column(c).to_numpy() for c in ("pivot", "i", "j")])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            starts = [0, *cuts.tolist()]
-            for a, b in zip(starts[:-1], starts[1:]):
-                if b - a > 1:
-                    yield from compare(table.slice(a, b - a))
-            waiting = table.slice(starts[-1])
-        if waiting is not None and len(waiting) > 1:
-            yield from compare(waiting)
-
-    dealt = rows.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").where("a <> b").distinct()
+    dealt = _families(pairs, groups, sets).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    return dealt.mapInArrow(lambda batches: _by_tile(batches, compare), "a long, b long").distinct()
+
+
+def _joining(x, y, differ, own, group) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs of rows, those that join groups; ``group`` is brought up to date."""
+    keep_x, keep_y = [], []
+    for i in np.unique(x):
+        others = y[x == i]
+        others = others[np.argsort(differ[i, others], kind="stable")]
+        names, first = np.unique(group[others], return_index=True)
+        mine = group[own[i]]
+        new = names != mine
+        if new.any():
+            keep_x.extend([i] * int(new.sum()))
+            keep_y.extend(others[first[new]].tolist())
+            group[np.isin(group, names[new])] = mine
+    return np.array(keep_x, dtype=np.int64), np.array(keep_y, dtype=np.int64)
 
 
 def jaccard_links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
@@ -367,9 +400,11 @@ def jaccard_links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     stars = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     close = common.checkpointed(bounded(stars, sets, rule), "bounded-pairs")
     links = common.checkpointed(verified(close, sets, rule), "pivot-links")
-    rest = common.checkpointed(family_pairs(pairs, links.distinct(), sets, rule), "family-pairs")
-    more = common.checkpointed(verified(rest, sets, rule), "family-links")
-    return prints, links.unionByName(more)
+    # First what the closest pairs join; then, of what is still apart, every pair.
+    for every in (False, True):
+        rest = common.checkpointed(family_pairs(pairs, connected(links), sets, rule, every), "family-pairs")
+        links = links.unionByName(common.checkpointed(verified(rest, sets, rule), "family-links"))
+    return prints, links
 
 
 def jaccard_groups(docs: DataFrame, rule: Rule) -> DataFrame:
