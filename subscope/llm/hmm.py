@@ -55,6 +55,11 @@ def tokens_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
+def _sums(place: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the values per place, as doubles even where there are none."""
+    return np.bincount(place, values, minlength=n).astype(np.float64)
+
+
 def _signed(hashes: np.ndarray) -> np.ndarray:
     return hashes.view(np.int64)
 
@@ -147,7 +152,7 @@ def summary(counts: DataFrame, head_words: int = HEAD_WORDS) -> Corpus:
             token = batch.column("token").to_numpy().view(np.uint64)
             n = batch.column("n").to_numpy()
             own = corpus.classes(token)
-            sums, each = np.bincount(own, n, minlength=N_CLASSES), np.bincount(own, minlength=N_CLASSES)
+            sums, each = _sums(own, n, N_CLASSES), np.bincount(own, minlength=N_CLASSES)
             at = np.flatnonzero(each)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at]), pa.array(each[at])], names=["class", "n", "words"])
 
@@ -349,8 +354,8 @@ def _parts(docs: DataFrame, corpus: Corpus, model: Hmm) -> DataFrame:
                 log = Chunks(current, classes, first).forward() / np.log(10)
                 at = np.minimum(np.searchsorted(known.head, tokens), max(len(known.head) - 1, 0))
                 found = known.head[at] == tokens if len(known.head) else np.zeros(len(tokens), dtype=bool)
-                logs = np.bincount(doc[found], logs_of_head[at[found]], minlength=n)
-                score = log - np.bincount(doc, cost[classes], minlength=n)
+                logs = _sums(doc[found], logs_of_head[at[found]], n)
+                score = log - _sums(doc, cost[classes], n)
                 rows = row + np.arange(n)
                 row += n
                 none = pa.nulls(n, pa.int64())

@@ -181,14 +181,18 @@ def masked(docs: DataFrame, prior_odds: float = PRIOR_ODDS, mask: str = MASK) ->
 
 
 def _found_in(text: Column, ratios: list[float], prior_odds: float) -> Column:
-    """Start and end of all secret parts of a text, by start."""
+    """Start and end of all secret parts of a text, by start; base parts may overlap."""
     low = F.lower(text)
     keyed = low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api")
     assign = F.filter(_located(text, ASSIGN, keyed, 2), lambda s: F.length(s["text"]) >= LEAST_ASSIGNED)
     base = F.concat(assign, _located(text, ACCESS, text.contains("AKIA")), _located(text, HEX))
     test = _likely_random(ratios, prior_odds)
-    # Spans of the method may overlap base ones here: what is covered twice is masked once.
-    random = F.filter(_located(text, CANDIDATE), test)
+
+    def added(span: Column) -> Column:
+        meets = F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+        return ~meets & test(span)
+
+    random = F.filter(_located(text, CANDIDATE), added)
     part = F.transform(F.concat(base, random), lambda s: F.struct((s["end"] - F.length(s["text"])).alias("start"), s["end"].alias("end")))
     return F.array_sort(part)
 

@@ -1,0 +1,106 @@
+import hashlib
+import random
+
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from subscope.llm import bpe, common
+
+from . import edge
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizer = Tokenizer.from_file(bpe.vocabulary_path())
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe.Encoder(bpe.Vocabulary.read(bpe.vocabulary_path()))
+
+
+def ids_of(encoder, text):
+    words = encoder.split(text or "")
+    encoder.learn([words])
+    return [i for w in words for i in encoder.known[w][0]]
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def expected(library, text):
+    ids = library.encode(text or "", add_special_tokens=False).ids
+    return len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))
+
+
+TEXTS = [
+    "It's <|endoftext|> don't we'll 've I'm <|startoftext|>x ΣΑΣ Σ", "", "   ", "é é ÉÈ", "<|endoftext|><|endoftext|>", "<|endoftext", "a<|b",
+    "12345 1a2b ½ ²", "!!!??? ... --- @#$%", "日本語 한국어 العربية हिन्दी", "😀😃 👩‍👩‍👧", "\x00\x01\x1f\x7f\x85  x　y", "İstanbul ǅ ß ﬁ",
+    "x" * 3000, "ab" * 2000, "'s 'S 't's''", "﻿bom", "tab\tnew\nline\r\n", "supercalifragilisticexpialidocious antidisestablishmentarianism",
+]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_chosen_texts(library, encoder, text):
+    encoding = library.encode(text, add_special_tokens=False)
+    ids = ids_of(encoder, text)
+    assert ids == encoding.ids
+    assert " ".join(encoder.vocabulary.names[i] for i in ids) == library.decode(ids, skip_special_tokens=False)
+
+
+def test_random_words(library, encoder):
+    rng = random.Random(4)
+    pieces = [n.removesuffix("</w>") for n in encoder.vocabulary.names if n.isascii()]
+    for _ in range(1500):
+        kind = rng.random()
+        if kind < 0.4:
+            word = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 5)))
+        elif kind < 0.7:
+            word = "".join(rng.choice("aabceno") for _ in range(rng.randrange(1, 30)))
+        else:
+            word = "".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(0xC0, 0x24F), rng.randrange(0x4E00, 0x9FFF)])) for _ in range(12))
+        assert ids_of(encoder, word) == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_cache_may_run_over(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    encoder = bpe.Encoder(bpe.Vocabulary.read(bpe.vocabulary_path()))
+    for text in ("one two three", "two four five six seven", "one"):
+        assert ids_of(encoder, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_table_equals_the_library(spark, library):
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    out = bpe.digests(docs).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == expected(library, texts[r.doc_id])
+
+
+def test_edge_cases(spark, library):
+    out = bpe.digests(edge.frame(spark)).collect()
+    assert edge.ids_of(out) == edge.ALL_IDS
+    assert sorted((str(r.doc_id), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out) == sorted((str(i), *expected(library, t)) for i, t in edge.texts())
+    assert bpe.digests(edge.empty(spark)).collect() == []
+
+
+def test_ids_and_decoding(spark, library):
+    encoded = bpe.encode(edge.frame(spark))
+    rows = encoded.collect()
+    assert edge.ids_of(rows) == edge.ALL_IDS and all(len(r.ids) == r.n_tokens for r in rows)
+    decoded = sorted((str(r.doc_id), r.text) for r in bpe.decode(encoded).collect())
+    assert decoded == sorted((str(r.doc_id), library.decode(r.ids, skip_special_tokens=False)) for r in rows)
+    odd = spark.createDataFrame([(1, None), (2, [5, None, 10**8, -1, 6])], "doc_id long, ids array<int>")
+    names = bpe.Vocabulary.read(bpe.vocabulary_path()).names
+    assert {r.doc_id: r.text for r in bpe.decode(odd).collect()} == {1: "", 2: f"{names[5]} {names[6]}"}
+
+
+def test_pieces_keep_whole_texts():
+    batch = pa.RecordBatch.from_pydict({"text": ["abc", None, "d" * 50, "", "e"]})
+    assert [p.column("text").to_pylist() for p in common.pieces(batch, "text", 10)] == [["abc", None], ["d" * 50], ["", "e"]]

@@ -84,8 +84,7 @@ def segmentations(n):
                 yield [(0, 1, pii.OUTSIDE), *shifted]
 
 
-def total_of(field, island, segments):
-    phi = island.features(0, len(island))
+def total_of(field, phi, segments):
     total, before = 0.0, pii.OUTSIDE
     for a, b, k in segments:
         total += field.pairs[before, k]
@@ -104,21 +103,23 @@ def some_field(seed):
 
 
 def test_decoding_is_the_best_of_all_segmentations():
-    for seed, text in itertools.product(range(4), ("+1 (22)", "a@b.c", "1.2.3", "12-")):
+    for seed, text in itertools.product(range(4), ("+1(2", "a@b.", "1.2.", "12-")):
         field, island = some_field(seed), pii.Island(text, 0, len(text))
-        best = max(segmentations(len(island)), key=lambda s: total_of(field, island, s))
+        phi = island.features(0, len(island))
+        best = max(segmentations(len(island)), key=lambda s: total_of(field, phi, s))
         found = field.spans(island)
         assert found == [s for s in best if s[2] != pii.OUTSIDE]
 
 
 def test_gradient_is_the_slope_of_the_likelihood():
-    field, text = some_field(1), "1.2 a@b"
+    field, text = some_field(1), "1.2 a"
     island, truth = pii.Island(text, 0, len(text)), [(0, 3, 1)]
+    phi, ways = island.features(0, len(island)), list(segmentations(len(island)))
 
     def likelihood():
-        scores = [total_of(field, island, s) for s in segmentations(len(island))]
+        scores = [total_of(field, phi, s) for s in ways]
         full = [(0, 3, 1), *((i, i + 1, pii.OUTSIDE) for i in range(3, len(island)))]
-        return total_of(field, island, full) - np.log(np.sum(np.exp(scores)))
+        return total_of(field, phi, full) - np.log(np.sum(np.exp(scores)))
 
     weights, pairs = field.gradient(island, truth)
     for table, slope, place in ((field.weights, weights, (1, 2)), (field.weights, weights, (0, 0)), (field.pairs, pairs, (4, 1)), (field.pairs, pairs, (4, 4))):
