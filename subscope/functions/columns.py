@@ -52,7 +52,7 @@ def bin_checked(
         F.when(value < low + guess * width, guess - 1)
         .when((guess < bins - 1) & (value >= low + (guess + 1) * width), guess + 1)
         .otherwise(guess)
-        .cast("int")
+        .cast("long")
     )
 
 

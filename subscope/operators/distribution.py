@@ -44,11 +44,15 @@ def histogram_by_label(
     columns: Iterable[str] | None = None,
     bins: int | str = "auto",
     summary: Summary | None = None,
+    empty_bins: bool | None = None,
 ) -> DataFrame:
     """Counts and densities per class over bin edges shared by all classes.
 
-    Densities integrate to 1 within each class. Empty bins are part of the result.
-    ``bins="auto"`` derives the number of bins from the whole column. ``summary``, the
+    Densities integrate to 1 within each class. Empty bins are part of the result where
+    the number of bins is given, unless ``empty_bins`` says otherwise. ``bins="auto"``
+    derives the number of bins from the whole column; a heavy tail makes it very large,
+    so only occupied bins are returned, which the rows bound, and any edge follows from
+    ``bin`` and the edges of another bin. ``summary``, the
     :func:`class_summary` of these columns, saves a pass where it is known already.
     """
     names = numeric_columns(df, columns, {label})
@@ -61,12 +65,17 @@ def histogram_by_label(
         number = bins
         if bins == "auto":
             iqr = o.quantile(0.75) - o.quantile(0.25)
-            number = automatic_bins(o.count, o.low, o.high, iqr)
+            # Narrower bins than this have edges that doubles cannot tell apart.
+            number = min(automatic_bins(o.count, o.low, o.high, iqr), 2**53)
         flat = o.low == o.high
         low, high = (o.low - 0.5, o.high + 0.5) if flat else (o.low, o.high)
         edges[index] = (low, high, (high - low) / number, int(number))
 
-    edge_fields = "_low double, _high double, _width double, _bins int"
+    if empty_bins is None:
+        empty_bins = bins != "auto"
+    if empty_bins and bins == "auto":
+        raise ValueError("empty bins need a given number of bins")
+    edge_fields = "_low double, _high double, _width double, _bins bigint"
     by_column = local_frame(
         df.sparkSession,
         [(i, *e) for i, e in edges.items()],
@@ -94,18 +103,20 @@ def histogram_by_label(
             ("_low", T.DoubleType()),
             ("_high", T.DoubleType()),
             ("_width", T.DoubleType()),
-            ("_bins", T.IntegerType()),
+            ("_bins", T.LongType()),
             ("_rows", T.LongType()),
         ],
-    ).withColumn("bin", F.explode(F.sequence(F.lit(0), n_bins - 1)))
-    rows = F.coalesce(counted["count"], F.lit(0))
-    at = spine["bin"]
-    same = (
-        spine[GROUP].eqNullSafe(counted[GROUP])
-        & (spine[INDEX] == counted[INDEX])
-        & (at == counted["bin"])
     )
-    return spine.join(counted, same, "left").select(
+    same = spine[GROUP].eqNullSafe(counted[GROUP]) & (spine[INDEX] == counted[INDEX])
+    if empty_bins:
+        numbers = F.sequence(F.lit(0).cast("long"), n_bins - 1)
+        spine = spine.withColumn("bin", F.explode(numbers))
+        at, rows = spine["bin"], F.coalesce(counted["count"], F.lit(0))
+        joined = spine.join(counted, same & (at == counted["bin"]), "left")
+    else:
+        at, rows = counted["bin"], counted["count"]
+        joined = counted.join(F.broadcast(spine), same)
+    return joined.select(
         spine[GROUP].alias(label),
         name_at(names, spine[INDEX]).alias("column"),
         at.alias("bin"),

@@ -15,6 +15,7 @@ from ..functions import (
     safe_ratio,
 )
 from ..schemas import ID_COLUMNS, LABEL
+from ..sources.local import local_frame
 from .longform import INDEX, VALUE, long_values
 
 
@@ -22,11 +23,12 @@ def column_stats(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     """Mean and sample standard deviation per numeric column, with the row count."""
     names = numeric_columns(df, columns)
     grouped = long_values(df, names, value=finite).groupBy(INDEX)
-    return grouped.agg(
+    stats = grouped.agg(
         F.avg(VALUE).alias("mean"),
         F.stddev_samp(VALUE).alias("std"),
         F.count(F.lit(1)).alias("row_count"),
-    ).select(name_at(names, F.col(INDEX)).alias("column"), "mean", "std", "row_count")
+    )
+    return _named(df, stats, names, {"row_count": 0})
 
 
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
@@ -36,20 +38,22 @@ def column_profile(df: DataFrame, columns: Iterable[str] | None = None) -> DataF
     """
     names = numeric_columns(df, columns)
     grouped = long_values(df, names, value=not_nan).groupBy(INDEX)
-    return grouped.agg(
+    stats = grouped.agg(
         F.avg(VALUE).alias("mean"),
         F.stddev_samp(VALUE).alias("std"),
         F.min(VALUE).alias("min"),
         F.max(VALUE).alias("max"),
         F.count_if(F.col(VALUE).isNull()).alias("null_count"),
-    ).select(
-        name_at(names, F.col(INDEX)).alias("column"),
-        "mean",
-        "std",
-        "min",
-        "max",
-        "null_count",
     )
+    return _named(df, stats, names, {"null_count": 0})
+
+
+def _named(df: DataFrame, stats: DataFrame, names: list[str], empty: dict[str, int]) -> DataFrame:
+    """Statistics by column name, with a row for every column also of an empty table."""
+    every = local_frame(df.sparkSession, [(i,) for i in range(len(names))], f"{INDEX} int")
+    joined = every.join(stats, INDEX, "left").na.fill(empty)
+    figures = [c for c in stats.columns if c != INDEX]
+    return joined.select(name_at(names, F.col(INDEX)).alias("column"), *figures)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

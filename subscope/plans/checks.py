@@ -103,12 +103,12 @@ def _histogram(bins: str) -> str:
         "least(floor((v - lo) / w), bins - 1) as g from vals join edges "
         'on vals."column" = edges."column"), '
         'placed as (select churn, "column", cast(case when v < lo + g * w then g - 1 '
-        "when g < bins - 1 and v >= lo + (g + 1) * w then g + 1 else g end as int) "
+        "when g < bins - 1 and v >= lo + (g + 1) * w then g + 1 else g end as bigint) "
         "as bin from guessed), "
         'counted as (select churn, "column", bin, count(*) as n from placed group by all), '
         'classes as (select churn, "column", count(*) as rows from vals group by all), '
         "spine as (select churn, classes.\"column\", rows, lo, hi, w, bins, "
-        "cast(unnest(range(cast(bins as bigint))) as int) as bin "
+        "unnest(range(cast(bins as bigint))) as bin "
         'from classes join edges on classes."column" = edges."column") '
         'select spine.churn, spine."column", spine.bin, '
         f"{_single('lo + spine.bin * w', 'bin_low')}, "
@@ -296,7 +296,7 @@ def oracle() -> dict[str, str]:
         "category_by_label": _categories(top=False),
         "category_top": _categories(top=True),
         "histogram_by_label": _histogram("20"),
-        "histogram_auto_bins": _histogram(_AUTO_BINS),
+        "histogram_auto_bins": f"select * from ({_histogram(_AUTO_BINS)}) where \"count\" > 0",
         "kde_by_label": _density(
             'select churn, "column", v, count(*) as c from vals group by all'
         ),
@@ -352,16 +352,17 @@ def oracle() -> dict[str, str]:
         "count(*) filter (where churn = 1) as n1, count(*) filter (where churn = 0) as n0 "
         "from ranked) "
         f"select {_single('(r1 - n1 * (n1 + 1) / 2e0) / (n1 * n0)', 'auc_roc')} from sums",
-        "batch_scores": f"{_processed()} select customer_id, 1 as has_class, "
-        f"1 as has_probability from processed where {valid}",
-        "model_roundtrip": f"{_processed()} select count(*) as rows, "
-        f"cast(0 as bigint) as different from processed where {valid}",
+        "batch_scores": f"{_processed()} select customer_id, cast({valid} as int) as has_class, "
+        f"cast({valid} as int) as has_probability from processed",
+        "model_roundtrip": f"{_processed()} select count(*) as rows, count(*) filter "
+        f"(where {valid}) as scored, cast(0 as bigint) as different from processed",
         "scored_stream": f"{_processed()}, known as (select distinct 'cust_' || "
         "regexp_extract(customer_id, '^c([0-9]+)-', 1) as customer_id from processed "
         f"where {valid}), event_rows as ({event_rows_sql()}), decoded as (select "
         "case when event_id % 50 <> 0 then customer_id end as customer_id from event_rows) "
         "select decoded.customer_id, count(*) as events, count(known.customer_id) "
-        "as scored_events from decoded left join known "
+        "as scored_events, count(known.customer_id) as events_with_batch_score "
+        "from decoded left join known "
         "on decoded.customer_id = known.customer_id group by decoded.customer_id",
         "job_record": f"{_processed()} select 'rows' as name, cast(count(*) as double) as value "
         "from processed union all select 'rows_without_minutes', "

@@ -7,20 +7,19 @@ from pyspark.sql import functions as F
 
 from ..operators.cleaning import SigmaCapModel, SigmaCapper, binarize
 from ..operators.features import add_features
-from ..sources.tables import balanced, read_csv, read_parquet, write_parquet
+from ..sources.tables import read_csv, read_parquet, spread, write_parquet
 
 
 def process(
-    raw: DataFrame, include_label: bool = False, spread: bool = False
+    raw: DataFrame, include_label: bool = False, partitions: int | None = None
 ) -> tuple[DataFrame, SigmaCapModel]:
     """Cleaned table with features, and the fitted bounds.
 
-    ``spread=True`` gives a small table read by few tasks to all cores, for a result
-    that is written and read again.
+    ``partitions`` deals the rows of the result out anew, for an input that is known to
+    be read by too few tasks.
     """
     model = SigmaCapper(include_label=include_label).fit(binarize(raw))
-    source = balanced(raw) if spread else raw
-    return add_features(model.transform(binarize(source))), model
+    return add_features(model.transform(binarize(spread(raw, partitions)))), model
 
 
 def run_etl(
@@ -30,6 +29,7 @@ def run_etl(
     bounds_path: str | None = None,
     stage_path: str | None = None,
     include_label: bool = False,
+    partitions: int | None = None,
 ) -> dict[str, Any]:
     """Read, clean, derive and write; returns the figures of the run.
 
@@ -41,7 +41,7 @@ def run_etl(
     if stage_path:
         write_parquet(raw, stage_path)
         raw = read_parquet(spark, stage_path)
-    return write_processed(spark, raw, output_path, bounds_path, include_label)
+    return write_processed(spark, raw, output_path, bounds_path, include_label, partitions)
 
 
 def write_processed(
@@ -50,9 +50,10 @@ def write_processed(
     output_path: str,
     bounds_path: str | None = None,
     include_label: bool = False,
+    partitions: int | None = None,
 ) -> dict[str, Any]:
     """The part of the job after the scan."""
-    processed, model = process(raw, include_label, spread=True)
+    processed, model = process(raw, include_label, partitions)
     # The figures come from the writing job itself, without another pass.
     seen = Observation()
     observed = processed.observe(

@@ -1,8 +1,10 @@
 """Data profile: the tables behind a report, each of them small."""
 
+from collections.abc import Iterable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import numeric_columns
 from ..operators.correlation import correlation_lower
@@ -31,23 +33,34 @@ def report_tables(
     label: str = LABEL,
     resolution: int | None = DENSITY_RESOLUTION,
     box_method: str = "exact",
+    columns: Iterable[str] | None = None,
+    categories: Iterable[str] | None = None,
+    bins: int | str = "auto",
 ) -> dict[str, DataFrame]:
-    """The report as one frame per table."""
-    names = numeric_columns(df, None, {label})
+    """The report as one frame per table.
+
+    ``columns`` and ``categories`` choose what the distribution, correlation and category
+    tables show. Densities use ``resolution`` bins instead of all distinct values, which
+    the table states in its column ``resolution``; None is exact.
+    """
+    columns = None if columns is None else list(columns)
+    names = numeric_columns(df, columns, {label})
     summary = class_summary(df, names, label)
     return {
         "summary": report_summary(df, label),
         "column_profile": column_profile(df),
         "label_distribution": label_distribution(df, label),
-        "category_by_label": category_by_label(df, label),
-        "histogram_by_label": histogram_by_label(df, label, summary=summary),
-        "density_by_label": density_by_label(
-            df, label, resolution=resolution, summary=summary
+        "category_by_label": category_by_label(df, label, categories),
+        "histogram_by_label": histogram_by_label(
+            df, label, columns, bins, summary=summary
         ),
+        "density_by_label": density_by_label(
+            df, label, columns, resolution=resolution, summary=summary
+        ).withColumn("resolution", F.lit(resolution).cast("int")),
         "box_stats_by_label": box_stats_by_label(
-            df, label, method=box_method, summary=summary
+            df, label, columns, method=box_method, summary=summary
         ),
-        "correlation_lower": correlation_lower(df),
+        "correlation_lower": correlation_lower(df, columns),
     }
 
 
@@ -57,15 +70,16 @@ def run_profile(
     output_path: str,
     cache: bool = False,
     label: str = LABEL,
+    **options: Any,
 ) -> dict[str, Any]:
     """Write the report's tables below ``output_path``.
 
     Each pass reads only the columns it needs. ``cache=True`` pays where the table fits
-    into the cluster's memory.
+    into the cluster's memory. ``options`` are those of :func:`report_tables`.
     """
     df = read_parquet(spark, data_path, cache=cache)
     try:
-        tables = report_tables(df, label)
+        tables = report_tables(df, label, **options)
         for name, table in tables.items():
             write_parquet(table, f"{output_path.rstrip('/')}/{name}")
     finally:

@@ -33,6 +33,9 @@ from . import etl, profiling, streams, training
 SMALL_MODEL = {"maxIter": 3, "maxDepth": 4}
 SMALL_GRID = {"maxDepth": (3, 4)}
 
+# Records of a file of the streamed folder, so that it has several micro-batches.
+FILE_RECORDS = 4000
+
 _processed: dict[tuple[str, str], str] = {}
 
 
@@ -263,7 +266,8 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records pass through the sink as they are, in several micro-batches."""
     path = scratch_path(spark, "events")
-    fixtures.encoded_events(spark, sf_dir).repartition(4).write.text(path)
+    events = fixtures.encoded_events(spark, sf_dir)
+    events.write.option("maxRecordsPerFile", FILE_RECORDS).text(path)
     source = sources.read_text_files(spark, path, max_files_per_trigger=1)
     kind = F.when(F.col("value") == "{bad", "malformed").otherwise("event")
     written = _drained(spark, source).groupBy(kind.alias("kind"))
@@ -377,7 +381,7 @@ def _small_model(train_df: DataFrame) -> modeling.Trained:
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_df, test_df = modeling.split_by_hash(processed(spark, sf_dir))
     scored = modeling.score(_small_model(train_df).model, test_df)
-    probability = vector_to_array("probability")[1].alias("probability")
+    probability = modeling.probability_of().alias("probability")
     return scored.select(ID, LABEL, "prediction", probability)
 
 
@@ -407,7 +411,8 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A saved model, loaded again, scores every complete row of the table."""
+    """A saved model, loaded again, gives every row of the table its score row; those
+    that lack a feature have no prediction in it."""
     path = scratch_path(spark, "model")
     df = processed(spark, sf_dir)
     modeling.save_model(_small_model(modeling.split_by_hash(df)[0]).model, path)
@@ -415,8 +420,10 @@ def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     a_class = F.col("prediction").isin(0.0, 1.0)
     return scores.select(
         ID,
-        a_class.cast("int").alias("has_class"),
-        F.col("probability").between(0.0, 1.0).cast("int").alias("has_probability"),
+        F.coalesce(a_class, F.lit(False)).cast("int").alias("has_class"),
+        F.coalesce(F.col("probability").between(0.0, 1.0), F.lit(False))
+        .cast("int")
+        .alias("has_probability"),
     )
 
 
@@ -429,14 +436,16 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = modeling.score(model, df).select(
         *FEATURES,
         F.col("prediction").alias("before"),
-        vector_to_array("probability").alias("probability_before"),
+        modeling.probability_of().alias("probability_before"),
     )
     second = modeling.score(modeling.load_model(path), first)
-    differs = (F.col("prediction") != F.col("before")) | (
-        vector_to_array("probability") != F.col("probability_before")
+    same = F.col("prediction").eqNullSafe(F.col("before")) & (
+        modeling.probability_of().eqNullSafe(F.col("probability_before"))
     )
     return second.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(differs).alias("different")
+        F.count(F.lit(1)).alias("rows"),
+        F.count("prediction").alias("scored"),
+        F.count_if(~same).alias("different"),
     )
 
 
@@ -466,28 +475,33 @@ def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = scoring.customer_scores(_small_model(df).model, df).where(
         F.col(ID).isNotNull()
     )
-    per_customer = (
-        scores.withColumn(
-            ID, F.concat(F.lit("cust_"), F.regexp_extract(ID, r"^c(\d+)-", 1))
-        )
-        .groupBy(ID)
-        .agg(F.max("probability").alias("probability"))
+    renamed = scores.withColumn(
+        ID, F.concat(F.lit("cust_"), F.regexp_extract(ID, r"^c(\d+)-", 1))
     )
+    table = scratch_path(spark, "scores")
+    tables.write_parquet(scoring.unique_scores(renamed), table)
     path, checkpoint = scratch_path(spark, "sink"), scratch_path(spark, "checkpoint")
     source = sources.read_text_files(spark, _encoded_text(spark, sf_dir))
     scoring.write_scored_stream(
         decode.enrich(decode.decode_json(source)),
-        per_customer,
+        table,
         path,
         checkpoint,
         available_now=True,
     ).awaitTermination()
+    batch = tables.read_parquet(spark, table).select(
+        ID, F.col("probability").alias("batch_probability")
+    )
     return (
         tables.read_parquet(spark, path)
+        .join(batch, ID, "left")
         .groupBy(ID)
         .agg(
             F.count(F.lit(1)).alias("events"),
             F.count("probability").alias("scored_events"),
+            F.count_if(F.col("probability") == F.col("batch_probability")).alias(
+                "events_with_batch_score"
+            ),
         )
     )
 

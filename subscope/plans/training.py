@@ -3,7 +3,8 @@
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import plain
 from ..operators.modeling import (
@@ -20,7 +21,7 @@ from ..operators.modeling import (
 from ..schemas import FEATURES, ID, LABEL
 from ..sources.run_log import append_run
 from ..sources.tables import read_parquet, write_parquet
-from ..streaming.scoring import customer_scores
+from ..streaming.scoring import customer_scores, unique_scores
 
 
 def run_training(
@@ -35,6 +36,7 @@ def run_training(
     parallelism: int = 2,
     fit_on: str = "train",
     weighted: bool = False,
+    run_id: str | None = None,
 ) -> dict[str, Any]:
     """Split, tune, evaluate, save and record.
 
@@ -66,14 +68,25 @@ def run_training(
             feature_importance(spark, trained.model).coalesce(1), importance_path
         )
     if log_path:
-        append_run(spark, log_path, trained.parameters(), metrics)
+        append_run(spark, log_path, trained.parameters(), metrics, run_id)
     return {**metrics, "skipped_rows": skipped}
 
 
 def run_scoring(
     spark: SparkSession, data_path: str, model_path: str, output_path: str
 ) -> dict[str, Any]:
-    """Score every customer of the processed table with a saved model."""
+    """Score every customer of the processed table with a saved model.
+
+    The table has one row per customer, as the scored stream needs it; those that lack a
+    feature are in it without a prediction and are counted.
+    """
     df = read_parquet(spark, data_path).select(ID, *map(plain, FEATURES))
-    write_parquet(customer_scores(load_model(model_path), df), output_path)
-    return {}
+    scores = unique_scores(customer_scores(load_model(model_path), df))
+    seen = Observation()
+    counted = scores.observe(
+        seen,
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(~F.col("complete")).alias("customers_without_score"),
+    )
+    write_parquet(counted, output_path)
+    return dict(seen.get)

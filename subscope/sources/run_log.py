@@ -56,10 +56,12 @@ def timed_job(
     name: str,
     body: Callable[[], Mapping[str, Any]],
     log_path: str | None = None,
+    run_id: str | None = None,
 ) -> dict[str, Any]:
     """Run ``body``, log how long it took and record it; a failure is logged and raised.
 
-    ``body`` returns the figures of the run. Numeric figures are recorded as metrics.
+    ``body`` returns the figures of the run. Numeric figures are recorded as metrics, under
+    ``run_id`` if the body records something of its own.
     """
     LOG.info("%s: started", name)
     started = time.monotonic()
@@ -70,7 +72,10 @@ def timed_job(
         LOG.exception("%s: failed after %.2f seconds", name, elapsed)
         if log_path:
             status = {"job": name, "status": "failed"}
-            append_run(spark, log_path, status, {"seconds": elapsed})
+            try:
+                append_run(spark, log_path, status, {"seconds": elapsed}, run_id)
+            except Exception:  # the failure of the job is the one to report
+                LOG.exception("%s: the failure could not be recorded", name)
         raise
     result["seconds"] = time.monotonic() - started
     LOG.info("%s: finished in %.2f seconds", name, result["seconds"])
@@ -80,5 +85,5 @@ def timed_job(
             for k, v in result.items()
             if isinstance(v, (int, float)) and not isinstance(v, bool)
         }
-        append_run(spark, log_path, {"job": name, "status": "done"}, numbers)
+        append_run(spark, log_path, {"job": name, "status": "done"}, numbers, run_id)
     return result

@@ -30,15 +30,12 @@ def read_parquet(spark: SparkSession, path: str, cache: bool = False) -> DataFra
     return df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a frame whose scan has fewer partitions than the session has cores.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The frame over so many partitions, or as its scan has it where none are asked for.
 
-    A small file of one row group is read by a single task, however many cores are free.
-    A table with enough partitions is returned as it is, so large inputs never shuffle.
-    Meant for frames of scans and projections.
+    A file of one row group is read by a single task; whoever knows that says so here.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df if partitions is None else df.repartition(partitions)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -13,7 +13,7 @@ from subscope.operators.profile import (
     null_counts,
     report_summary,
 )
-from subscope.sources.tables import balanced, preview
+from subscope.sources.tables import preview, spread
 
 SCHEMA = "customer_id string, area_code string, ok boolean, churn int, a int, b double"
 ROWS = [
@@ -63,8 +63,10 @@ def test_profile_leaves_missing_values_out(df):
 def test_stats_of_small_tables(spark):
     one = column_stats(spark.createDataFrame([(4.0,)], "v double")).first()
     assert (one["mean"], one["std"], one["row_count"]) == (4.0, None, 1)
-    none = column_stats(spark.createDataFrame([], "v double")).collect()
-    assert none == []
+    none = column_stats(spark.createDataFrame([], "v double, w int")).collect()
+    assert [tuple(r) for r in none] == [("v", None, None, 0), ("w", None, None, 0)]
+    profile = column_profile(spark.createDataFrame([], "v double")).collect()
+    assert [tuple(r) for r in profile] == [("v", None, None, None, None, 0)]
 
 
 def test_column_names_with_dots(spark):
@@ -128,13 +130,9 @@ def test_report_summary(df):
     assert row["categorical_columns"] == "area_code, ok"
 
 
-def test_preview_and_balance(spark, tmp_path):
-    df = spark.range(100)
+def test_preview_and_spread(spark):
+    df = spark.range(1000).coalesce(1)
     assert preview(df).count() == 5
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    assert balanced(one).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 1000, 1, cores + 1)
-    assert balanced(wide) is wide
-    assert balanced(one).agg(F.sum("id")).first()[0] == sum(range(1000))
+    assert spread(df) is df
+    assert spread(df, 7).rdd.getNumPartitions() == 7
+    assert spread(df, 7).agg(F.sum("id")).first()[0] == sum(range(1000))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from subscope.plans.streams import run_stream, start_stream
 from subscope.schemas import EVENT_SCHEMA
 from subscope.streaming.decode import decode_json, enrich
-from subscope.streaming.scoring import write_scored_stream
+from subscope.streaming.scoring import attach_scores, unique_scores, write_scored_stream
 from subscope.streaming.sinks import write_parquet_stream
 from subscope.streaming.sources import (
     kafka_options,
@@ -151,10 +151,21 @@ def test_missing_kafka_connector_is_named(spark):
         read_kafka(spark, kafka_options("localhost:1", "t"))
 
 
+def test_one_score_per_customer(spark):
+    rows = [("a", 0.0, 0.2, True), ("a", 1.0, 0.9, True), ("a", None, None, False), ("b", None, None, False), (None, 1.0, 0.8, True)]
+    df = spark.createDataFrame(rows, "customer_id string, prediction double, probability double, complete boolean")
+    unique = sorted(tuple(r) for r in unique_scores(df).collect())
+    assert unique == [("a", 1.0, 0.9, True), ("b", None, None, False)]
+    events = spark.createDataFrame([("a", 1), ("a", 1), ("c", 2), (None, 3), (None, 3)], "customer_id string, n int")
+    got = sorted((r["n"], r["probability"]) for r in attach_scores(events, unique_scores(df)).collect())
+    assert got == [(1, 0.9), (1, 0.9), (2, None), (3, None), (3, None)]
+
+
 def test_scores_are_looked_up_and_batches_replaced(spark, tmp_path):
-    events, out = str(tmp_path / "events"), str(tmp_path / "out")
+    events, out, scores = (str(tmp_path / n) for n in ("events", "out", "scores"))
     write_events(spark, events, [1, 1, 1, 2])
-    scores = spark.createDataFrame([("cust_1", 0.9)], "customer_id string, probability double")
+    found = spark.createDataFrame([("cust_1", 0.9)], "customer_id string, probability double")
+    found.write.parquet(scores)
     for checkpoint in ("cp1", "cp2"):  # the second run repeats batch 0
         write_scored_stream(
             enrich(decode_json(read_text_files(spark, events))),
