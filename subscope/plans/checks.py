@@ -1,5 +1,6 @@
 """The registered queries as DuckDB SQL over the same tables."""
 
+from ..operators.modeling import GRID
 from ..schemas import EVENT_SCHEMA, FEATURES, RAW_SCHEMA
 from ..sources.fixtures import event_rows_sql, usage_raw_sql
 
@@ -352,6 +353,28 @@ def oracle() -> dict[str, str]:
         "count(*) filter (where churn = 1) as n1, count(*) filter (where churn = 0) as n0 "
         "from ranked) "
         f"select {_single('(r1 - n1 * (n1 + 1) / 2e0) / (n1 * n0)', 'auc_roc')} from sums",
+        "preview": f"with usage_raw as ({usage_raw_sql()}) select count(*) as rows, "
+        "cast(0 as bigint) as not_in_table from (select * from usage_raw limit 5)",
+        "box_stats_approx": f"{_processed()}, {_values(FEATURES)} select churn, "
+        '"column", count(*) as rows, 1 as within_accuracy from vals group by churn, "column"',
+        "gbt_predictions": f"{_processed()} select customer_id, churn, "
+        f"cast({valid} as int) as scored, cast({valid} as int) as follows_probability "
+        "from processed where cast(regexp_extract(customer_id, '^c([0-9]+)-', 1) as bigint) % 5 = 0",
+        "cv_scores": "select max_depth, step_size, 1 as has_score, 1 as chosen_is_best from "
+        f"(select unnest({list(GRID['maxDepth'])}) as max_depth), "
+        f"(select unnest({list(GRID['stepSize'])}::double[]) as step_size)",
+        "evaluation": "select unnest(['f1_score', 'accuracy', 'weighted_precision', "
+        "'weighted_recall', 'auc_roc', 'unscored_rows', 'top_importances']) as metric, 1 as agrees",
+        "feature_importance": f"select unnest({list(FEATURES)}) as feature, 1 as in_order, "
+        "1e0 as total",
+        "run_metrics": "select * from (values "
+        "('param', 'model_type', 0::bigint, 1::bigint), ('param', 'max_depth', 1, 0), "
+        "('param', 'max_iter', 1, 0), ('param', 'step_size', 1, 0), "
+        "('param', 'feature_columns', 0, 1), ('metric', 'f1_score', 1, 0), "
+        "('metric', 'auc_roc', 1, 0), ('metric', 'accuracy', 1, 0), "
+        "('metric', 'weighted_precision', 1, 0), ('metric', 'weighted_recall', 1, 0), "
+        "('metric', 'unscored_rows', 1, 0), ('metric', 'importance', 10, 0)) "
+        "as t(kind, name, numbers, texts)",
         "batch_scores": f"{_processed()} select customer_id, cast({valid} as int) as has_class, "
         f"cast({valid} as int) as has_probability from processed",
         "model_roundtrip": f"{_processed()} select count(*) as rows, count(*) filter "

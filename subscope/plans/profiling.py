@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import numeric_columns
 from ..operators.correlation import correlation_lower
 from ..operators.distribution import (
+    DENSITY_RESOLUTION,
     box_stats_by_label,
     density_by_label,
     histogram_by_label,
@@ -23,10 +24,6 @@ from ..operators.quantiles import class_summary
 from ..schemas import LABEL
 from ..sources.tables import read_parquet, write_parquet
 
-# Bins that stand for the values in the report's density curves: exact enough to draw,
-# and bounded however many distinct values a column has.
-DENSITY_RESOLUTION = 4096
-
 
 def report_tables(
     df: DataFrame,

@@ -31,7 +31,7 @@ from . import etl, profiling, streams, training
 
 # A small model that trains in seconds; the full settings are the defaults of training.
 SMALL_MODEL = {"maxIter": 3, "maxDepth": 4}
-SMALL_GRID = {"maxDepth": (3, 4)}
+CV_ROUNDS = 2
 
 # Records of a file of the streamed folder, so that it has several micro-batches.
 FILE_RECORDS = 4000
@@ -83,7 +83,11 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.preview(fixtures.usage_raw(spark, sf_dir))
+    """How many rows are shown, and how many of them are not in the table."""
+    raw = fixtures.usage_raw(spark, sf_dir)
+    shown = tables.preview(raw)
+    figures = [(shown.count(), shown.exceptAll(raw).count())]
+    return local.local_frame(spark, figures, "rows bigint, not_in_table bigint")
 
 
 # Cleaning and features
@@ -175,7 +179,7 @@ def histogram_auto_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kde_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(distribution.density_by_label(processed(spark, sf_dir)))
+    return comparable(distribution.density_by_label(processed(spark, sf_dir), resolution=None))
 
 
 def kde_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,8 +192,30 @@ def box_stats_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per class and column: the values, and whether each approximate quartile has a rank
+    within the accuracy of the exact one."""
     df = processed(spark, sf_dir)
-    return comparable(distribution.box_stats_by_label(df, method="approx"))
+    boxes = distribution.box_stats_by_label(df, method="approx")
+    names = list(FEATURES)
+    values = df.select(LABEL, *(F.col(c).cast("double").alias(c) for c in names))
+    long = values.unpivot([LABEL], names, "column", "v").where("v is not null")
+    joined = long.join(boxes.where(F.col("column").isin(names)), [LABEL, "column"])
+    quartiles = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
+    counts = [F.count(F.lit(1)).alias("rows")]
+    for name, _ in quartiles:
+        counts += [
+            F.count_if(F.col("v") < F.col(name)).alias(f"below_{name}"),
+            F.count_if(F.col("v") <= F.col(name)).alias(f"to_{name}"),
+        ]
+    grouped = joined.groupBy(LABEL, "column").agg(*counts)
+    slack = F.col("rows") / 10_000 + 1
+    right = [
+        (F.col(f"below_{n}") <= p * F.col("rows") + slack)
+        & (F.col(f"to_{n}") >= p * F.col("rows") - slack)
+        for n, p in quartiles
+    ]
+    within = (right[0] & right[1] & right[2]).cast("int")
+    return grouped.select(LABEL, "column", "rows", within.alias("within_accuracy"))
 
 
 def _rounded_correlation(df: DataFrame) -> DataFrame:
@@ -378,36 +404,98 @@ def _small_model(train_df: DataFrame) -> modeling.Trained:
     return modeling.train(train_df, params=SMALL_MODEL, grid={})
 
 
+def _parted(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training and held-out rows by the number in the key, which SQL can state as well."""
+    number = F.regexp_extract(ID, r"^c(\d+)-", 1).cast("long")
+    return df.where(number % 5 != 0), df.where(number % 5 == 0)
+
+
 def gbt_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train_df, test_df = modeling.split_by_hash(processed(spark, sf_dir))
-    scored = modeling.score(_small_model(train_df).model, test_df)
-    probability = modeling.probability_of().alias("probability")
-    return scored.select(ID, LABEL, "prediction", probability)
+    """The held-out rows scored by trees with the full settings: is there a prediction,
+    and does it follow its probability?"""
+    train_df, test_df = _parted(processed(spark, sf_dir))
+    scored = modeling.score(modeling.train(train_df, grid={}).model, test_df)
+    probability = modeling.probability_of()
+    follows = F.col("prediction") == (probability > 0.5).cast("double")
+    return scored.select(
+        ID,
+        LABEL,
+        F.col("complete").cast("int").alias("scored"),
+        F.coalesce(follows, F.lit(False)).cast("int").alias("follows_probability"),
+    )
 
 
 def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All points of the grid, three folds each, with few rounds: has a point a score,
+    and is it the best one where it was chosen?"""
     trained = modeling.train(
-        processed(spark, sf_dir),
-        params={**SMALL_MODEL, "maxIter": 2},
-        grid=SMALL_GRID,
-        folds=2,
-    )
-    return local.local_frame(
-        spark,
-        [(int(s["maxDepth"]), s["f1"], s["f1_std"]) for s in trained.scores],
-        "max_depth int, f1 double, f1_std double",
+        processed(spark, sf_dir), params={"maxIter": CV_ROUNDS}, parallelism=4
     )
+    best = max(s["f1"] for s in trained.scores)
+    chosen = (trained.trees.getMaxDepth(), trained.trees.getStepSize())
+    rows = []
+    for s in trained.scores:
+        point = (int(s["maxDepth"]), s["stepSize"])
+        rows.append((*point, int(0 < s["f1"] <= 1), int(point != chosen or s["f1"] == best)))
+    schema = "max_depth int, step_size double, has_score int, chosen_is_best int"
+    return local.local_frame(spark, rows, schema)
 
 
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train_df, test_df = modeling.split_by_hash(processed(spark, sf_dir))
-    figures = modeling.evaluate(_small_model(train_df).model, test_df)
-    return modeling.evaluation_frame(spark, figures)
+    """Each figure of the evaluation, and whether it equals one counted from the written
+    predictions; the importances are looked up in the model."""
+    train_df, test_df = _parted(processed(spark, sf_dir))
+    model = _small_model(train_df).model
+    figures = modeling.evaluate(model, test_df)
+    path = scratch_path(spark, "predictions")
+    columns = (LABEL, "prediction", modeling.probability_of().alias("p"))
+    tables.write_parquet(modeling.score(model, test_df).select(*columns), path)
+    written = tables.read_parquet(spark, path)
+    known = written.where("prediction is not null")
+    total = known.count()
+    sides = []
+    for c in (0, 1):
+        truth, claim = F.col(LABEL) == c, F.col("prediction") == c
+        row = known.agg(F.count_if(truth), F.count_if(claim), F.count_if(truth & claim)).first()
+        sides.append(tuple(row))
+    # Rank sum with mean ranks of ties, counted from the distinct probabilities.
+    steps = known.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).alias("pos"))
+    seen = rank_sum = 0.0
+    for row in sorted(steps.collect()):
+        rank_sum += row["pos"] * (seen + (row["n"] + 1) / 2)
+        seen += row["n"]
+    positive, negative = sides[1][0], sides[0][0]
+    expected = {
+        "f1_score": sum(t * (2 * h / (t + c) if t + c else 0) for t, c, h in sides) / total,
+        "accuracy": sum(h for _, _, h in sides) / total,
+        "weighted_precision": sum(t * (h / c if c else 0) for t, c, h in sides) / total,
+        "weighted_recall": sum(h for _, _, h in sides) / total,
+        "auc_roc": (rank_sum - positive * (positive + 1) / 2) / (positive * negative),
+        "unscored_rows": written.count() - total,
+    }
+    importances = model.stages[-1].featureImportances.toArray()
+    rows = [
+        (k, int(abs(expected[k] - v) < 1e-9))
+        for k, v in figures.items()
+        if not k.startswith("importance_")
+    ]
+    top = [v for k, v in figures.items() if k.startswith("importance_")]
+    right = top == sorted(importances.tolist(), reverse=True)[:10]
+    rows.append(("top_importances", int(right)))
+    return local.local_frame(spark, rows, "metric string, agrees int")
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All features by importance: in range, in order, with a total of one."""
     trained = _small_model(processed(spark, sf_dir))
-    return modeling.feature_importance(spark, trained.model)
+    rows = modeling.feature_importance(spark, trained.model, top=None).collect()
+    values = [r["importance"] for r in rows]
+    total = round(sum(values), 6)
+    out = []
+    for i, r in enumerate(rows):
+        in_order = i == 0 or values[i - 1] >= values[i] >= 0
+        out.append((r["feature"], int(in_order), total))
+    return local.local_frame(spark, out, "feature string, in_order int, total double")
 
 
 def batch_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -462,7 +550,10 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         grid={},
     )
     records = tables.read_parquet(spark, log)
-    return records.select("kind", "name", "value", "text")
+    name = F.regexp_replace("name", "^importance_.*", "importance")
+    return records.groupBy("kind", name.alias("name")).agg(
+        F.count("value").alias("numbers"), F.count("text").alias("texts")
+    )
 
 
 def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -144,7 +144,7 @@ def test_density_by_brute_force(spark):
     pairs = [(int(r.random() < 0.4), r.gauss(0, 2)) for _ in range(400)]
     everything = [v for _, v in pairs]
     grid = np.linspace(min(everything), max(everything), 200)
-    exact = density_by_label(labelled(spark, pairs)).toPandas()
+    exact = density_by_label(labelled(spark, pairs), resolution=None).toPandas()
     rough = density_by_label(labelled(spark, pairs), resolution=500).toPandas()
     for label in (0, 1):
         want = kernel_density(np.array([v for c, v in pairs if c == label]), grid)
