@@ -13,7 +13,21 @@ from ..functions import plain
 from ..session import scratch_path
 
 # A task works on so many bytes of text at a time, which bounds its arrays.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
+
+
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 500
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python by so many rows, unless the session says how many.
+
+    Spark's own number suits rows of numbers. Texts are larger, and a batch is in memory
+    several times on its way, on both sides.
+    """
+    if spark.conf.get(BATCH_ROWS, None) is None:
+        spark.conf.set(BATCH_ROWS, str(TEXTS_PER_BATCH))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +36,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns an operator reads, under fixed names; other columns never clash."""
+    small_batches(docs.sparkSession)
     return docs.select(
         plain(id_col).cast("long").alias("doc_id"), plain(text_col).cast("string").alias("text")
     )
@@ -76,24 +91,24 @@ def appended(
 ) -> tuple[DataFrame, dict[str, str]]:
     """All columns of the frame and those that ``work`` gives for each row's id and text.
 
-    The second result maps the names of ``schema`` to the names they got, which avoid those
+    The text column is one of strings. The second result maps the names of ``schema`` to the names they got, which avoid those
     of the frame. Whole rows stream by, so nothing has to be joined back.
     """
+    small_batches(df.sparkSession)
     wanted = StructType.fromDDL(schema)
     names = fresh_names(df, [f.name for f in wanted.fields])
-    own = fresh_names(df, ["row_id", "row_text"])
-    read = df.withColumns({own[0]: plain(id_col).cast("long"), own[1]: plain(text_col).cast("string")})
     out = StructType([*df.schema.fields, *(StructField(n, f.dataType) for n, f in zip(names, wanted.fields))])
     kept = df.columns
 
     def run(batches):
         for batch in batches:
-            for piece in pieces(batch, own[1]):
-                found = work(pa.RecordBatch.from_arrays([piece.column(own[0]), piece.column(own[1])], names=["doc_id", "text"]))
+            for piece in pieces(batch, text_col):
+                asked = [piece.column(id_col).cast(pa.int64()), piece.column(text_col)]
+                found = work(pa.RecordBatch.from_arrays(asked, names=["doc_id", "text"]))
                 new = [x if isinstance(x, pa.Array) else pa.array(x) for x in (found[f.name] for f in wanted.fields)]
                 yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *new], names=[*kept, *names])
 
-    return read.mapInArrow(run, out), dict(zip([f.name for f in wanted.fields], names))
+    return df.mapInArrow(run, out), dict(zip([f.name for f in wanted.fields], names))
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:

@@ -39,11 +39,12 @@ from . import common
 from .graph import connected
 from .words import mix, windows, words_of
 
-BITMAP_BITS = 1024
+BITMAP_BITS = 1024  # least bits of a bitmap
 FILTER_BITS = 1 << 25  # bits of the filter for documents whose sets are needed
 FAMILY_BLOCK = 4096  # nodes of a family block
 BLOCK_ROWS = 64
-PIECE_BYTES = 4 << 20
+BLOCK_WORDS = 1 << 22  # 64-bit words compared at a time
+PIECE_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -204,12 +205,34 @@ def pivot_pairs(docs: DataFrame, rule: Rule, largest: int) -> DataFrame:
     return members.where("node <> pivot").distinct()
 
 
-def _bitmaps(sets: Sets) -> np.ndarray:
-    """A parity bit per hash class and set: sets differ in at least as many elements."""
-    n = len(sets.first) - 1
-    place = sets.doc * BITMAP_BITS + (sets.values % np.uint64(BITMAP_BITS)).astype(np.int64)
-    odd = (np.bincount(place, minlength=n * BITMAP_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(n, BITMAP_BITS), axis=1)
+def bitmap_bits(sizes: np.ndarray) -> np.ndarray:
+    """Bits of a set's bitmap: a power of two, at least twice its size."""
+    return np.maximum(BITMAP_BITS, 1 << np.ceil(np.log2(np.maximum(2 * sizes, 1))).astype(np.int64))
+
+
+def _bitmaps(sets: Sets) -> list[bytes]:
+    """A parity bit per hash class and set: sets differ in at least as many elements.
+
+    The class is the hash modulo the number of bits, so a longer bitmap is brought to half
+    its length by combining its halves.
+    """
+    sizes, out = sets.sizes, [b""] * (len(sets.first) - 1)
+    bits = bitmap_bits(sizes)
+    for length in np.unique(bits):
+        chosen = np.flatnonzero(bits == length)
+        number = np.repeat(np.arange(len(chosen)), sizes[chosen])
+        values = sets.values[np.repeat(bits == length, sizes)]
+        place = number * length + (values % np.uint64(length)).astype(np.int64)
+        odd = (np.bincount(place, minlength=len(chosen) * length) & 1).astype(np.uint8)
+        packed = np.packbits(odd.reshape(len(chosen), length), axis=1)
+        for d, row in zip(chosen, packed):
+            out[d] = row.tobytes()
+    return out
+
+
+def _folded(bitmap: bytes, words: int) -> np.ndarray:
+    """A bitmap as 64-bit words, brought down to so many of them."""
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, dtype=np.uint64).reshape(-1, words), axis=0)
 
 
 def _id_places(ids: DataFrame) -> np.ndarray:
@@ -236,14 +259,14 @@ def node_sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, rule: Rule)
             batch = batch.filter(pa.array((shared.value[at >> 5] >> (at % 32).astype(np.uint32) & 1).astype(bool)))
             for piece in common.pieces(batch, "text", PIECE_BYTES):
                 sets = shingle_sets(piece.column("text"), rule.width)
-                bits, first = _bitmaps(sets), sets.first * 8
+                first = sets.first * 8
                 raw = sets.values.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
                         pa.array(sets.fingerprints()),
                         pa.array(sets.sizes),
-                        pa.array([b.tobytes() for b in bits], pa.binary()),
+                        pa.array(_bitmaps(sets), pa.binary()),
                         pa.array([raw[a:b] for a, b in zip(first[:-1], first[1:])], pa.binary()),
                     ],
                     names=["doc_id", "node", "n", "bitmap", "data"],
@@ -254,13 +277,6 @@ def node_sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, rule: Rule)
     return common.checkpointed(found.join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id"), "node-sets")
 
 
-def _words64(column: pa.Array) -> np.ndarray:
-    """A column of bitmaps as rows of 64-bit words."""
-    if not len(column):
-        return np.zeros((0, BITMAP_BITS // 64), np.uint64)
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64).reshape(len(column), -1)
-
-
 def _within(rule: Rule, n: np.ndarray, m: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Can sets of sizes n and m be similar, given that so many parity bits differ?"""
     close = (rule.den * np.minimum(n, m) >= rule.num * np.maximum(n, m))
@@ -273,7 +289,11 @@ def bounded(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     def run(batches):
         for batch in batches:
             n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
-            differ = np.bitwise_count(_words64(batch.column("x")) ^ _words64(batch.column("y"))).sum(axis=1, dtype=np.int64)
+            differ = np.zeros(len(batch), dtype=np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+                x, y = x.as_buffer(), y.as_buffer()
+                words = min(len(x), len(y)) // 8
+                differ[i] = np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()
             yield batch.select(["a", "b"]).filter(pa.array(_within(rule, n, m, differ)))
 
     left = sets.select(F.col("node").alias("a"), "n", F.col("bitmap").alias("x"))
@@ -345,21 +365,35 @@ def family_pairs(pairs: DataFrame, groups: DataFrame, sets: DataFrame, rule: Rul
     """
 
     def compare(table: pa.Table):
+        # By size, so that the partners of some rows are a range after them.
+        table = table.sort_by("n")
         node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
         _, group = np.unique(table.column("label").to_numpy(), return_inverse=True)
-        block, bits = table.column("block").to_numpy(), _words64(table.column("bitmap").combine_chunks())
+        block, maps = table.column("block").to_numpy(), table.column("bitmap").to_pylist()
         across = table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        for at in range(0, len(node), BLOCK_ROWS):
-            own = np.arange(at, min(at + BLOCK_ROWS, len(node)))
-            near = group[own][:, None] != group[None, :]
-            near &= np.arange(len(node))[None, :] > own[:, None]
+        end_of = np.searchsorted(n, n * rule.den // rule.num, side="right")
+        folded: dict[tuple[int, int], np.ndarray] = {}
+        at = 0
+        while at < len(node):
+            words = len(maps[at]) // 8
+            rows = max(1, min(BLOCK_ROWS, BLOCK_WORDS // (words * max(1, int(end_of[at]) - at))))
+            own = np.arange(at, min(at + rows, len(node)))
+            other = np.arange(at, int(end_of[own[-1]]))
+            at = own[-1] + 1
+            near = group[own][:, None] != group[other][None, :]
+            near &= other[None, :] > own[:, None]
             if across:
-                near &= block[own][:, None] != block[None, :]
+                near &= block[own][:, None] != block[other][None, :]
             if not near.any():
                 continue
-            differ = np.bitwise_count(bits[own][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
-            near &= _within(rule, n[own][:, None], n[None, :], differ)
+            for i in other:
+                if (i, words) not in folded:
+                    folded[i, words] = _folded(maps[i], words)
+            bits = np.stack([folded[i, words] for i in other])
+            differ = np.bitwise_count(bits[: len(own)][:, None, :] ^ bits[None, :, :]).sum(axis=2, dtype=np.int64)
+            near &= _within(rule, n[own][:, None], n[other][None, :], differ)
             x, y = np.nonzero(near)
+            y = other[y]
             if not every:
                 x, y = _joining(x, y, differ, own, group)
             if len(x):
@@ -375,7 +409,7 @@ def _joining(x, y, differ, own, group) -> tuple[np.ndarray, np.ndarray]:
     keep_x, keep_y = [], []
     for i in np.unique(x):
         others = y[x == i]
-        others = others[np.argsort(differ[i, others], kind="stable")]
+        others = others[np.argsort(differ[i, others - own[0]], kind="stable")]
         names, first = np.unique(group[others], return_index=True)
         mine = group[own[i]]
         new = names != mine

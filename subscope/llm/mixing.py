@@ -103,13 +103,30 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return common.by_pieces(common.id_and_text(docs), _posteriors(weights), MEMBERS)
 
 
+def _fold(steps: list[np.ndarray], posterior: str, result: str) -> Column:
+    """What a document is at after some steps: its rate, or the point ahead of it."""
+    if not steps:
+        return F.lit(1.0)
+    # Steps are data of one expression, whose size does not grow with their number.
+    listed = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
+    own, domains = plain(posterior), range(len(steps[0]) - 1)
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+
+    def move(state: Column, step: Column) -> Column:
+        drop = sum((own[k] * step[k] for k in domains), F.lit(0.0))
+        rate = F.greatest(F.lit(0.0), state["ahead"] - drop)
+        ahead = rate + step[len(domains)] * (rate - state["rate"])
+        return F.struct(rate.alias("rate"), ahead.alias("ahead"))
+
+    return F.aggregate(listed, start, move, lambda state: state[result])
+
+
 def rate_of(steps: list[np.ndarray], posterior: str = "posterior") -> Column:
-    """The rate after some steps: each moves against a gradient, then back to zero or more."""
-    rate = F.lit(1.0)
-    for step in steps:
-        move = sum((plain(posterior)[k] * float(x) for k, x in enumerate(step)), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), rate - move)
-    return rate
+    """The rate after some steps: each moves against a gradient, then back to zero or more.
+
+    A step is its move per domain and the momentum that the next one starts with.
+    """
+    return _fold(steps, posterior, "rate")
 
 
 def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> list[np.ndarray]:
@@ -123,12 +140,16 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) ->
             metric[i, j] = metric[j, i] = moments[f"m{i}_{j}"] or 0.0
     inverse = np.linalg.pinv(metric, rcond=1e-9)
     steps: list[np.ndarray] = []
+    pace = 1.0
     for _ in range(rounds):
-        sums = members.agg(*(F.sum(rate_of(steps) * F.col("n_tokens") * p[i]).alias(f"t{i}") for i in range(k))).first()
+        point = members.select("n_tokens", "posterior", _fold(steps, "posterior", "ahead").alias("at"))
+        sums = point.agg(*(F.sum(F.col("at") * F.col("n_tokens") * p[i]).alias(f"t{i}") for i in range(k))).first()
         missing = np.array([sums[f"t{i}"] or 0.0 for i in range(k)]) - targets
         if np.abs(missing).max() <= TOLERANCE * max(targets.sum(), 1.0):
             break
-        steps.append(inverse @ missing)
+        faster = (1 + (1 + 4 * pace * pace) ** 0.5) / 2
+        steps.append(np.append(inverse @ missing, (pace - 1) / faster))
+        pace = faster
     return steps
 
 

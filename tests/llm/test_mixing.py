@@ -11,9 +11,9 @@ def table(spark, posteriors, tokens):
     return spark.createDataFrame(rows, mixing.MEMBERS).repartition(3)
 
 
-def fitted(spark, posteriors, tokens, targets):
+def fitted(spark, posteriors, tokens, targets, rounds=30):
     df = table(spark, posteriors, tokens)
-    steps = mixing.fit_rates(df, np.array(targets, dtype=float), rounds=30)
+    steps = mixing.fit_rates(df, np.array(targets, dtype=float), rounds=rounds)
     rates = {r.doc_id: r.rate for r in df.select("doc_id", mixing.rate_of(steps).alias("rate")).collect()}
     return np.array([rates[i] for i in range(len(tokens))])
 
@@ -35,7 +35,7 @@ def test_unreachable_targets_are_met_in_least_squares(spark):
     posteriors, tokens = rng.dirichlet([2.0] * 2, size=40), rng.integers(1, 20, size=40)
     moments = (posteriors * tokens[:, None]).T @ posteriors
     targets = np.array([0.0, 400.0])
-    rates = fitted(spark, posteriors, tokens, targets)
+    rates = fitted(spark, posteriors, tokens, targets, rounds=80)
     slope = posteriors @ np.linalg.inv(moments) @ ((rates * tokens) @ posteriors - targets)
     assert np.abs(np.where(rates > 1e-9, slope, np.minimum(slope, 0))).max() < 5e-2
 
