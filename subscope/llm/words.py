@@ -19,7 +19,7 @@ _RNG = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUES = _RNG.integers(1, 2**63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 RADIX = 0x9E3779B97F4A7C15
 RADIX_INVERSE = pow(RADIX, -1, 2**64)
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 
 
 def _powers(base: int, n: int) -> np.ndarray:
