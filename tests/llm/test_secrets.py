@@ -77,6 +77,7 @@ def test_models_and_ratios(spark):
 
 def test_masking(spark):
     rows, key, _ = rows_with_secrets()
+    rows = [(i + 5000, t) for i, t in rows]
     rows += [*((i, t) for i, t in edge.texts()), (1000, f"é {key} ü token = '{key}' end"), (1001, "token=" + HEX + " x"), (1002, "nothing")]
     frame = edge.frame(spark, rows)
     out = secrets.masked(frame)
