@@ -28,7 +28,7 @@ from . import common
 
 WORD_END = "</w>"
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 300_000  # per Python worker; beyond this only the present piece's words stay
+CACHED_WORDS = 150_000  # per task; beyond this only the present piece's words stay
 PIECE_BYTES = 4 << 20
 NEVER = 1 << 60
 
@@ -61,7 +61,7 @@ class Vocabulary:
     special: dict[str, int]
     pattern: str
     longest: int
-    fits: dict[int, bool] = field(default_factory=dict)
+    fits: dict[int, bool] = field(default_factory=dict)  # remembered by follows()
 
     @classmethod
     def read(cls, path: str) -> "Vocabulary":
@@ -115,7 +115,7 @@ class Vocabulary:
                 if a not in self.parts:
                     break
                 _, a, a_used = self.parts[a]
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > 300_000:
                 self.fits.clear()
             self.fits[key] = known
         return known
@@ -199,24 +199,13 @@ def _texts(piece: pa.RecordBatch) -> list[str]:
     return [t or "" for t in piece.column("text").to_pylist()]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(shared) -> Encoder:
-    """One encoder per Python worker and broadcast vocabulary."""
-    key = str(shared.id if hasattr(shared, "id") else id(shared))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(shared.value)
-    return _ENCODERS[key]
-
-
 def _run(docs: DataFrame, path: str, work, schema: str, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.read(path))
 
     def run(batches):
-        encoder = _encoder(shared)
+        # Of the task, not of the worker, which may go on to other work.
+        encoder = Encoder(shared.value)
         for batch in batches:
             for piece in common.pieces(batch, "text", PIECE_BYTES):
                 words = [encoder.split(t) for t in _texts(piece)]

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from ..functions import plain
 from ..session import scratch_path
@@ -91,24 +91,28 @@ def appended(
 ) -> tuple[DataFrame, dict[str, str]]:
     """All columns of the frame and those that ``work`` gives for each row's id and text.
 
-    The text column is one of strings. The second result maps the names of ``schema`` to the names they got, which avoid those
-    of the frame. Whole rows stream by, so nothing has to be joined back.
+    The second result maps the names of ``schema`` to the names they got, which avoid those
+    of the frame. Only id and text go to Python and only the new columns come back; the
+    rows wait in the JVM, and nothing has to be joined back.
     """
     small_batches(df.sparkSession)
     wanted = StructType.fromDDL(schema)
     names = fresh_names(df, [f.name for f in wanted.fields])
-    out = StructType([*df.schema.fields, *(StructField(n, f.dataType) for n, f in zip(names, wanted.fields))])
-    kept = df.columns
-
-    def run(batches):
-        for batch in batches:
-            for piece in pieces(batch, text_col):
-                asked = [piece.column(id_col).cast(pa.int64()), piece.column(text_col)]
-                found = work(pa.RecordBatch.from_arrays(asked, names=["doc_id", "text"]))
-                new = [x if isinstance(x, pa.Array) else pa.array(x) for x in (found[f.name] for f in wanted.fields)]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), *new], names=[*kept, *names])
-
-    return df.mapInArrow(run, out), dict(zip([f.name for f in wanted.fields], names))
+    found = fresh_names(df, ["found"])[0]
+
+    @F.arrow_udf(wanted)
+    def run(ids: pa.Array, texts: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([ids, texts], names=["doc_id", "text"])
+        parts = []
+        for piece in list(pieces(batch, "text")) or [batch]:
+            out = work(piece)
+            columns = [x if isinstance(x, pa.Array) else pa.array(x) for x in (out[f.name] for f in wanted.fields)]
+            parts.append(pa.StructArray.from_arrays(columns, names=[f.name for f in wanted.fields]))
+        return pa.concat_arrays(parts)
+
+    new = run(plain(id_col).cast("long"), plain(text_col).cast("string"))
+    added = [plain(found)[f.name].alias(n) for n, f in zip(names, wanted.fields)]
+    return df.withColumn(found, new).select(*map(plain, df.columns), *added), dict(zip([f.name for f in wanted.fields], names))
 
 
 def checkpointed(df: DataFrame, name: str) -> DataFrame:
