@@ -38,7 +38,8 @@ SHARPNESS = 6.0  # feature values are scaled by this, so that single words can d
 ALPHA = 1.0
 ROUNDS = 25
 TOLERANCE = 1e-5
-SNAP = 0.1  # rates so near to a whole number are taken as that number
+NOISE = 1e-6  # rates so near to a whole number differ from it by rounding errors only
+SNAP = 0.1  # of copies() only, which no operator uses
 
 
 def _domain_labels(labels: DataFrame) -> DataFrame:
@@ -166,10 +167,20 @@ def reachable(members: DataFrame, shares: np.ndarray) -> np.ndarray:
     return np.minimum(shares * held[largest] / shares[largest], held)
 
 
-def copies(rate: Column, row_hash: Column) -> Column:
+def drawn(rate: Column, row_hash: Column) -> Column:
     """A whole number with the rate as its mean: the fraction is drawn by a hash of the row."""
     near = F.round(rate)
     share = F.pmod(row_hash, F.lit(1 << 20)) / float(1 << 20)
+    return F.when(F.abs(rate - near) <= NOISE, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
+
+
+def copies(rate: Column, row_hash: Column) -> Column:
+    """As drawn(), but rates within SNAP of a whole number become that number.
+
+    That loses rates of 0.1 or less, so the operators draw; a test holds this rule.
+    """
+    near = F.round(rate)
+    share = F.pmod(row_hash, F.lit(1 << 20)) / float(1 << 20)
     return F.when(F.abs(rate - near) <= SNAP, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
 
 
@@ -182,7 +193,7 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], flo
     """doc_id, n_tokens, posterior, rate and copies of each document."""
     members = common.checkpointed(memberships(docs, fit(docs, labels)), "memberships")
     out = members.withColumn("rate", rate_of(_steps(members, targets)))
-    return out.withColumn("copies", copies(F.col("rate"), F.xxhash64("doc_id", "n_tokens")))
+    return out.withColumn("copies", drawn(F.col("rate"), F.xxhash64("doc_id", "n_tokens")))
 
 
 def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> DataFrame:
@@ -195,7 +206,7 @@ def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], flo
     members = common.checkpointed(memberships(docs, weights), "memberships")
     steps = _steps(members, targets)
     rows, names = common.appended(docs, _posteriors(weights), MEMBERS)
-    times = copies(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
+    times = drawn(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
     number = common.fresh_names(rows, ["number"])[0]
     # explode leaves out rows with no copies.
     many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), times.cast("int"))))

@@ -53,6 +53,31 @@ def test_copies_have_the_rate_as_mean(spark):
     assert abs(out[0] - 2.3) < 0.02 and list(out)[1:] == [0.0, 1.0, 0.0]
 
 
+def mixed_shares(spark, monkeypatch, held, column, **options):
+    """The domains' shares of tokens when each document counts as often as ``column`` says."""
+    rng = np.random.default_rng(2)
+    posteriors = np.where(np.eye(4, dtype=bool)[rng.choice(4, size=20_000, p=held)], 0.997, 0.001)
+    members = table(spark, posteriors, rng.integers(50, 150, size=len(posteriors)))
+    monkeypatch.setattr(mixing, "fit", lambda *args: None)
+    monkeypatch.setattr(mixing, "memberships", lambda *args: members)
+    rows = mixing.mixed(None, None, **options).toPandas()
+    totals = np.stack(rows.posterior).T @ (rows[column] * rows.n_tokens).to_numpy()
+    return totals / totals.sum()
+
+
+def test_copies_meet_targets_where_a_domain_is_hot(spark, monkeypatch):
+    shares = mixed_shares(spark, monkeypatch, [0.60, 0.05, 0.33, 0.02], "copies")
+    assert np.allclose(shares, [mixing.TARGETS[d] for d in mixing.DOMAINS], atol=5e-3)
+
+
+def test_drawn_copies_lose_no_small_rate(spark):
+    df = spark.range(20_000).selectExpr("id", "2.3D as a", "0.04D as b", "0.97D as c", "1.0000001D as d")
+    from pyspark.sql import functions as F
+
+    out = df.select(*(mixing.drawn(F.col(c), F.xxhash64("id")).alias(c) for c in "abcd")).agg(*(F.avg(c) for c in "abcd")).first()
+    assert np.allclose(list(out)[:3], [2.3, 0.04, 0.97], atol=0.01) and out[3] == 1.0
+
+
 def test_labelled_rows(spark):
     rows = mixing.op3_mixing(spark, "/root/testdata/sf0.1").join(common.table(spark, "/root/testdata/sf0.1", "labels"), "doc_id", "left").toPandas()
     good = rows[(rows.quality == 1) & (rows.toxic == 0)]
