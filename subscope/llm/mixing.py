@@ -14,11 +14,14 @@ tokens, which makes a step of length one safe and makes rates depend on posterio
 Defined cases: a NULL text is empty, has no tokens and the posterior of an empty text; NULL
 ids are returned as NULL and get a rate like any other; repeated rows count one by one;
 without labels all domains are equally likely; contradictory labels are not learned from;
-a domain with fewer tokens than its share is taken whole, none is repeated to fill it; an
-empty table
-gives no rows. Extra columns are ignored.
+a domain with fewer tokens than its share is repeated to fill it, unless ``repeats`` is
+False; a share above every document's posterior cannot be met by any rates, so such a
+domain keeps the tokens it holds; an empty table gives no rows. Extra columns are ignored.
+What was asked and what the copies give is logged per domain.
 """
 
+import logging
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +32,8 @@ from . import common
 from .quality_model import BITS, Ftrl, features, sigmoid
 from .words import mix
 
+log = logging.getLogger(__name__)
+
 # Share of the tokens each domain is to have: (quality, toxic).
 TARGETS = {(1, 0): 0.96, (1, 1): 0.02, (0, 0): 0.02, (0, 1): 0.0}
 DOMAINS = tuple(TARGETS)
@@ -154,15 +159,32 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) ->
     return steps
 
 
+def held_tokens(members: DataFrame, k: int) -> np.ndarray:
+    """Expected tokens of each domain, and the largest posterior of a document, as two rows."""
+    p = [F.col("posterior")[i] for i in range(k)]
+    row = members.agg(*(F.sum(F.col("n_tokens") * x) for x in p), *(F.max(F.when(F.col("n_tokens") > 0, x)) for x in p)).first()
+    return np.array([x or 0.0 for x in row], dtype=np.float64).reshape(2, k)
+
+
+def full_targets(members: DataFrame, shares: np.ndarray) -> np.ndarray:
+    """Target tokens in these proportions; the domain with the largest share sets the total.
+
+    A mixture's share of a domain is a mean of posteriors, so one above the largest of them
+    is out of reach of any rates: only there the target is what the domain holds.
+    """
+    held, most = held_tokens(members, len(shares))
+    largest = int(shares.argmax())
+    targets = shares * held[largest] / shares[largest]
+    return np.where((most < shares) & (np.arange(len(shares)) != largest), np.minimum(targets, held), targets)
+
+
 def reachable(members: DataFrame, shares: np.ndarray) -> np.ndarray:
     """Target tokens in these proportions without repeating a domain.
 
     The domain with the largest share is taken whole and sets the total; a domain that
     holds less than its share of it is taken whole as well.
     """
-    k = len(shares)
-    sums = members.agg(*(F.sum(F.col("n_tokens") * F.col("posterior")[i]).alias(f"t{i}") for i in range(k))).first()
-    held = np.array([sums[f"t{i}"] or 0.0 for i in range(k)])
+    held = held_tokens(members, len(shares))[0]
     largest = int(shares.argmax())
     return np.minimum(shares * held[largest] / shares[largest], held)
 
@@ -184,19 +206,33 @@ def copies(rate: Column, row_hash: Column) -> Column:
     return F.when(F.abs(rate - near) <= SNAP, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
 
 
-def _steps(members: DataFrame, targets: dict[tuple[int, int], float]) -> list[np.ndarray]:
+def _copies(steps: list[np.ndarray], names: dict[str, str]) -> Column:
+    return drawn(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
+
+
+OWN_NAMES = {name: name for name in ("doc_id", "n_tokens", "posterior")}
+
+
+def _steps(members: DataFrame, targets: dict[tuple[int, int], float], repeats: bool) -> list[np.ndarray]:
     shares = np.array([targets.get(d, 0.0) for d in DOMAINS], dtype=np.float64)
-    return fit_rates(members, reachable(members, shares / shares.sum()))
+    shares /= shares.sum()
+    steps = fit_rates(members, (full_targets if repeats else reachable)(members, shares))
+    got = members.withColumn("n_tokens", F.col("n_tokens") * _copies(steps, OWN_NAMES))
+    tokens = held_tokens(got, len(shares))[0]
+    total = max(tokens.sum(), 1.0)
+    for domain, share, own in zip(DOMAINS, shares, tokens):
+        log.info("quality %d, toxic %d: share asked %.4f, achieved %.4f (%.0f tokens)", *domain, share, own / total, own)
+    return steps
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True) -> DataFrame:
     """doc_id, n_tokens, posterior, rate and copies of each document."""
     members = common.checkpointed(memberships(docs, fit(docs, labels)), "memberships")
-    out = members.withColumn("rate", rate_of(_steps(members, targets)))
-    return out.withColumn("copies", drawn(F.col("rate"), F.xxhash64("doc_id", "n_tokens")))
+    steps = _steps(members, targets, repeats)
+    return members.withColumn("rate", rate_of(steps)).withColumn("copies", _copies(steps, OWN_NAMES))
 
 
-def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> DataFrame:
+def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True) -> DataFrame:
     """The documents as often as their rates say, with all their columns.
 
     Rates are fitted on the table of memberships and applied where the texts are, so no
@@ -204,12 +240,11 @@ def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], flo
     """
     weights = fit(docs, labels)
     members = common.checkpointed(memberships(docs, weights), "memberships")
-    steps = _steps(members, targets)
+    steps = _steps(members, targets, repeats)
     rows, names = common.appended(docs, _posteriors(weights), MEMBERS)
-    times = drawn(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
     number = common.fresh_names(rows, ["number"])[0]
     # explode leaves out rows with no copies.
-    many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), _copies(steps, names).cast("int"))))
     return many.select(*map(plain, docs.columns))
 
 

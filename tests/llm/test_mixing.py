@@ -70,6 +70,20 @@ def test_copies_meet_targets_where_a_domain_is_hot(spark, monkeypatch):
     assert np.allclose(shares, [mixing.TARGETS[d] for d in mixing.DOMAINS], atol=5e-3)
 
 
+def test_scarce_domains_are_repeated_to_their_share(spark, monkeypatch, caplog):
+    caplog.set_level("INFO", logger=mixing.__name__)
+    shares = mixed_shares(spark, monkeypatch, [0.983, 0.003, 0.010, 0.004], "copies")
+    assert np.allclose(shares, [mixing.TARGETS[d] for d in mixing.DOMAINS], atol=5e-3)
+    logged = [r.args for r in caplog.records]
+    assert [x[:2] for x in logged] == list(mixing.DOMAINS)
+    assert np.allclose([x[3] for x in logged], shares)
+
+
+def test_domains_without_documents_cannot_be_filled(spark):
+    df = table(spark, [[0.999, 0.001, 0], [0.99, 0.01, 0], [0, 0, 1]], [800, 150, 1])
+    assert np.allclose(mixing.full_targets(df, np.array([0.8, 0.1, 0.1])), [947.7, 2.3, 118.4625])
+
+
 def test_drawn_copies_lose_no_small_rate(spark):
     df = spark.range(20_000).selectExpr("id", "2.3D as a", "0.04D as b", "0.97D as c", "1.0000001D as d")
     from pyspark.sql import functions as F
