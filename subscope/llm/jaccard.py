@@ -464,24 +464,40 @@ def jaccard_groups(docs: DataFrame, rule: Rule) -> DataFrame:
 
 
 def without_near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """One document of each group: the one with the smallest id, with all its columns.
+    """One row of each group of sets that links join: the one with the smallest id.
 
-    Of rows that repeat an id the smallest text stays; rows without an id all stay. The ids
-    that go, and those that repeat, are tables of their own, so that Spark broadcasts them
-    only if their known size allows it.
+    Rows that repeat an id are told apart by their sets and do not tie the groups of these
+    together, so no text goes unless one that links lead to stays. Of rows with the same id
+    and set the smallest text stays; rows without an id all stay. The ids that go, and those
+    that repeat, are tables of their own, so that Spark broadcasts them only if their known
+    size allows it.
     """
-    groups = jaccard_groups(docs, rule).where("doc_id is not null")
-    verdict = groups.groupBy("doc_id").agg(F.min("component_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    special = common.checkpointed(verdict.where("n > 1 or first <> doc_id"), "special-ids")
+    prints, links = jaccard_links(docs, rule)
+    named = prints.where("doc_id is not null").join(connected(links), "node", "left")
+    group = F.when(F.col("n_shingles") > 0, F.coalesce("label", "node"))
+    named = common.checkpointed(named.select("doc_id", "node", group.alias("group")), "named-sets")
+    sizes = named.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "node")).alias("least"), F.count(F.lit(1)).alias("n"))
+    several = common.checkpointed(sizes.where("n > 1").select("group", "least"), "group-sets")
+    own = F.col("least").isNull() | (F.col("least") == F.struct("doc_id", "node"))
+    named = named.join(several, "group", "left").select("doc_id", "node", own.alias("stays"))
+    verdict = named.groupBy("doc_id").agg(F.min("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    special = common.checkpointed(verdict.where("n > 1 or not stays"), "special-ids")
     id_name = common.fresh_names(docs, ["row_id"])[0]
-    named = docs.withColumn(id_name, plain("doc_id").cast("long"))
-    ids = special.select(F.col("doc_id").alias(id_name))
-    out = named.join(ids, id_name, "left_anti").drop(id_name)
-    again = special.where("n > 1 and first = doc_id").select(F.col("doc_id").alias(id_name))
-    repeated = named.join(again, id_name, "left_semi")
-    place = common.fresh_names(named, ["place"])[0]
-    order = W.partitionBy(plain(id_name)).orderBy(plain("text"), F.xxhash64(*(plain(c) for c in docs.columns)))
-    first = repeated.withColumn(place, F.row_number().over(order)).where(plain(place) == 1).drop(place, id_name)
+    rows = docs.withColumn(id_name, plain("doc_id").cast("long"))
+    out = rows.join(special.select(F.col("doc_id").alias(id_name)), id_name, "left_anti").drop(id_name)
+    again = special.where("n > 1").select("doc_id")
+    repeated = rows.join(again.select(F.col("doc_id").alias(id_name)), id_name, "left_semi")
+
+    def work(piece: pa.RecordBatch) -> dict:
+        return {"node": shingle_sets(piece.column("text"), rule.width).fingerprints()}
+
+    repeated, names = common.appended(repeated, work, "node long")
+    node = names["node"]
+    kept = named.where("stays").join(again, "doc_id", "left_semi").select(F.col("doc_id").alias(id_name), F.col("node").alias(node)).distinct()
+    repeated = repeated.join(kept, [id_name, node], "left_semi")
+    place = common.fresh_names(repeated, ["place"])[0]
+    order = W.partitionBy(plain(id_name), plain(node)).orderBy(plain("text"), F.xxhash64(*(plain(c) for c in docs.columns)))
+    first = repeated.withColumn(place, F.row_number().over(order)).where(plain(place) == 1)
     return out.select(*map(plain, docs.columns)).unionByName(first.select(*map(plain, docs.columns)))
 
 

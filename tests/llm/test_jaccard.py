@@ -107,6 +107,15 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.count(None) == 2
 
 
+def test_repeated_ids_do_not_tie_groups(spark):
+    one, two = (" ".join(f"{w}{i}" for i in range(60)) for w in ("left", "right"))
+    rows = [(5, one), (5, two), (5, two), (10, two + " more"), (11, one + " more"), (12, one), (3, two)]
+    out = jaccard.without_near_duplicates(edge.frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(3, two), (5, one)]
+    out = jaccard.without_near_duplicates(edge.frame(spark, rows[:4])).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [(5, one), (5, two)]
+
+
 @pytest.mark.parametrize("rule", [jaccard.OP1_RULE, jaccard.Rule(), jaccard.Rule(3, 50, 100)])
 def test_partners_are_in_the_same_or_the_next_band(rule):
     bands = rule.bands(5000)
