@@ -75,6 +75,36 @@ def by_pieces(
     return df.mapInArrow(run, schema)
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of each value of ``keys``, which come one after the other, as one table."""
+    waiting = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        if waiting is not None:
+            table = pa.concat_tables([waiting, table]).combine_chunks()
+        if not len(table):
+            continue
+        values = np.stack([table.column(c).to_numpy() for c in keys])
+        starts = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist()]
+        for a, b in zip(starts[:-1], starts[1:]):
+            yield table.slice(a, b - a)
+        waiting = table.slice(starts[-1])
+    if waiting is not None and len(waiting):
+        yield waiting
+
+
+def gathered(lists: Iterator[list], least: int) -> Iterator[list]:
+    """The lists joined until they have ``least`` items."""
+    waiting = []
+    for more in lists:
+        waiting.extend(more)
+        if len(waiting) >= least:
+            yield waiting
+            waiting = []
+    if waiting:
+        yield waiting
+
+
 def fresh_names(df: DataFrame, names: list[str]) -> list[str]:
     """The names with underscores in front until no column of the frame has them."""
     taken = {c.lower() for c in df.columns}
