@@ -1,6 +1,6 @@
 """The registered queries of this package and their SQL, where SQL can express them."""
 
-from . import bpe, chat, hmm, jaccard, merkle, mixing, pii, quality_model, quality_rules, secrets, topk, warc
+from . import align, bpe, chat, hmm, jaccard, merkle, mixing, pii, quality_model, quality_rules, secrets, topk, warc
 
 QUERIES = {
     "op3_mixing": mixing.op3_mixing,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_quality_model": quality_model.op6_quality_model,
     "op7_quality_rules": quality_rules.op7_quality_rules,
     "op11_merkle": merkle.op11_merkle,
+    "op12_align": align.op12_align,
     "op13_chat": chat.op13_chat,
 }
 
@@ -21,5 +22,6 @@ ORACLE: dict[str, str] = {
     "op4_warc": warc.OP4_SQL,
     "op5_topk": topk.OP5_SQL,
     "op11_merkle": merkle.OP11_SQL,
+    "op12_align": align.op12_align,
     "op13_chat": chat.OP13_SQL,
 }
