@@ -36,6 +36,9 @@ CANDIDATE = r"(?<![\p{L}\p{N}])[A-Za-z0-9+/_=-]{16,}+(?![\p{L}\p{N}])"
 SMOOTHING = 0.5
 PRIOR_ODDS = 1e6  # ordinary identifiers for each random one, before looking at it
 
+CHUNK = 4096  # characters of a text's pieces when parts of it are replaced
+HALVINGS = 31  # of a search in an array: any that fits into memory
+
 SPAN = "struct<start:bigint,end:bigint,text:string>"
 
 
@@ -48,16 +51,58 @@ def _located(text: Column, pattern: str, present: Column | None = None, group: i
     parts = F.arrays_zip(whole.alias("m"), shown.alias("g"), F.split(text, pattern, -1).alias("p"))
     empty = F.array().cast(f"array<{SPAN}>")
 
-    def add(state, part):
-        start = state["at"] + F.length(part["p"])
-        end = start + F.length(part["m"])
-        span = F.struct(start.alias("start"), end.alias("end"), part["g"].alias("text"))
-        return F.struct(F.coalesce(end, state["at"]).alias("at"), F.array_append(state["found"], span.cast(SPAN)).alias("found"))
+    def located(parts: Column) -> Column:
+        before = running(F.transform(parts, lambda x: F.length(x["p"]) + F.length(x["m"])), lambda a, b: a + b)
+
+        def span(before: Column):
+            def show(part: Column, i: Column) -> Column:
+                start = before[i] + F.length(part["p"])
+                return F.struct(start.alias("start"), (start + F.length(part["m"])).alias("end"), part["g"].alias("text"))
+
+            return show
+
+        return _bound(before, lambda before: F.transform(parts, span(before)))
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("found"))
     # The last piece follows the last match and has none of its own.
-    located = F.aggregate(F.slice(parts, 1, F.size(whole)), start, add, lambda s: s["found"])
-    return F.when(F.size(whole) > 0, located).otherwise(empty)
+    found = _bound(F.slice(parts, 1, F.size(whole)), located)
+    return F.when(F.size(whole) > 0, found.cast(f"array<{SPAN}>")).otherwise(empty)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, combine, levels: int = 2) -> Column:
+    """Per item of an array of numbers, none below 0, what all items before it combine to.
+
+    A fold whose state is an array copies it for each item. This is made of folds to one
+    number: of the items before in a block, and of all blocks before, for which the same is
+    done once more. With blocks of the cube root of n items, n items take about n^(4/3) steps.
+    """
+
+    def folded(items: Column) -> Column:
+        return F.aggregate(items, F.lit(0), combine)
+
+    def by_block(values: Column, size: Column) -> Column:
+        def block(i: Column) -> Column:
+            return F.floor(i / size).cast("int")
+
+        totals = F.transform(F.sequence(F.lit(0), block(F.size(values) - 1)), lambda j: folded(F.slice(values, j * size + 1, size)))
+
+        def each(before: Column):
+            return lambda _, i: combine(before[block(i)], folded(F.slice(values, block(i) * size + 1, i - block(i) * size)))
+
+        return _bound(running(totals, combine, levels - 1), lambda before: F.transform(values, each(before)))
+
+    def run(values: Column) -> Column:
+        few = F.transform(values, lambda _, i: folded(F.slice(values, F.lit(1), i)))
+        if levels == 0:
+            return few
+        size = F.ceil(F.pow(F.size(values), F.lit(1 / (levels + 1)))).cast("int")
+        return F.when(F.size(values) <= 8, few).otherwise(_bound(size, lambda size: by_block(values, size)))
+
+    return _bound(values, run)
 
 
 def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -77,9 +122,25 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def _meets(spans: Column, span: Column) -> Column:
+    """Does one of the spans, which are in order and apart from each other, overlap this one?
+
+    Of those that start before its end the last one ends last; a search by halves finds it.
+    """
+    powers = F.lit([1 << k for k in reversed(range(HALVINGS))])
+
+    def step(at: Column, power: Column) -> Column:
+        further = at + power
+        return F.when((further <= F.size(spans)) & (F.get(spans, further - 1)["start"] < span["end"]), further).otherwise(at)
+
+    before = F.aggregate(powers, F.lit(0), step)
+    found = (before > 0) & (F.get(spans, before - 1)["end"] > span["start"])
+    return (F.size(spans) > 0) & F.coalesce(found, F.lit(False))
+
+
 def _outside(span: Column) -> Column:
     """Does no base span overlap this one?"""
-    meets = [F.exists(k, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])) for k in KINDS[:3]]
+    meets = [_meets(F.col(k), span) for k in KINDS[:3]]
     return ~(meets[0] | meets[1] | meets[2])
 
 
@@ -185,31 +246,44 @@ def _found_in(text: Column, ratios: list[float], prior_odds: float) -> Column:
     low = F.lower(text)
     keyed = low.contains("passw") | low.contains("secret") | low.contains("token") | low.contains("api")
     assign = F.filter(_located(text, ASSIGN, keyed, 2), lambda s: F.length(s["text"]) >= LEAST_ASSIGNED)
-    base = F.concat(assign, _located(text, ACCESS, text.contains("AKIA")), _located(text, HEX))
+    base = F.struct(assign.alias("assign"), _located(text, ACCESS, text.contains("AKIA")).alias("access"), _located(text, HEX).alias("hex"))
     test = _likely_random(ratios, prior_odds)
 
-    def added(span: Column) -> Column:
-        meets = F.exists(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
-        return ~meets & test(span)
+    def parts(base: Column) -> Column:
+        def added(span: Column) -> Column:
+            meets = [_meets(base[k], span) for k in KINDS[:3]]
+            return ~(meets[0] | meets[1] | meets[2]) & test(span)
 
-    random = F.filter(_located(text, CANDIDATE), added)
-    part = F.transform(F.concat(base, random), lambda s: F.struct((s["end"] - F.length(s["text"])).alias("start"), s["end"].alias("end")))
-    return F.array_sort(part)
+        every = F.concat(*(base[k] for k in KINDS[:3]), F.filter(_located(text, CANDIDATE), added))
+        return F.transform(every, lambda s: F.struct((s["end"] - F.length(s["text"])).alias("start"), s["end"].alias("end")))
+
+    return F.array_sort(_bound(base, parts))
 
 
 def _replaced(text: Column, parts: Column, mask: str) -> Column:
-    def step(state: Column, part: Column) -> Column:
-        between = F.substring(text, (state["at"] + 1).cast("int"), (part["start"] - state["at"]).cast("int"))
-        new = part["start"] >= state["at"]
-        shown = F.when(new, F.concat(state["out"], between, F.lit(mask))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], part["end"]).alias("at"), shown.alias("out"))
+    """The text with a mask in place of each part. Characters are taken from pieces of the
+    text, as a character far into a text is slow to find."""
+    # Pieces with a number of characters each; "." is any character here.
+    cut = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % CHUNK), F.lit(0))
+
+    def replaced(pieces: Column) -> Column:
+        def between(start: Column, end: Column) -> Column:
+            first = F.floor(start / CHUNK)
+            own = F.array_join(F.slice(pieces, (first + 1).cast("int"), (F.floor(end / CHUNK) - first + 1).cast("int")), "")
+            return F.substring(own, (start - first * CHUNK + 1).cast("int"), (end - start).cast("int"))
+
+        def masked_parts(covered: Column) -> Column:
+            def show(part: Column, i: Column) -> Column:
+                return F.when(part["start"] >= covered[i], F.concat(between(covered[i], part["start"]), F.lit(mask))).otherwise("")
 
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+            return F.transform(parts, show)
 
-    def rest(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, (state["at"] + 1).cast("int"), F.length(text)))
+        # How far the parts before each one reach.
+        ends = F.transform(parts, lambda s: s["end"].cast("int"))
+        shown = F.array_join(_bound(running(ends, lambda a, b: F.greatest(a, b)), masked_parts), "")
+        return F.concat(shown, between(F.array_max(ends), F.length(text)))
 
-    return F.aggregate(parts, start, step, rest)
+    return _bound(cut, replaced)
 
 
 def digests(found: DataFrame) -> DataFrame:

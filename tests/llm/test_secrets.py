@@ -1,8 +1,11 @@
 import hashlib
+import random
 import re
 import string
+import time
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from subscope.llm import common, secrets
 
@@ -98,3 +101,38 @@ def test_only_sql_functions_are_used(spark):
     docs = common.table(spark, "/root/testdata/sf0.001", "documents")
     plan = secrets.digests(secrets.spans(docs))._sc._jvm.PythonSQLUtils.explainString(secrets.scanned(docs)._jdf.queryExecution(), "formatted")
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def many(n):
+    """A text with so many matches of every kind."""
+    rng = random.Random(n)
+    lines = []
+    for i in range(n // 4):
+        lines.append(f"password = \"{rng.getrandbits(60):015x}é\" {rng.getrandbits(128):032x} ordinary_identifier_number_{i} {''.join(rng.choices(secrets.ALPHABET, k=30))} 😀")
+    return "\n".join(lines)
+
+
+def test_many_matches_in_one_text(spark):
+    """Time grows with the matches, not with their square, and the spans are right."""
+    text = many(40_000)
+    df = spark.createDataFrame([(1, text), (2, many(400))], "doc_id long, text string")
+    secrets.spans(df.where("doc_id = 2")).collect()
+    started = time.perf_counter()
+    (row,) = secrets.scanned(df.where("doc_id = 1")).select("doc_id", *(F.size(k).alias(k) for k in ("assign", "access", "hex", "candidates"))).collect()
+    assert row["assign"] == row["hex"] == 10_000 and row["candidates"] >= 20_000
+    assert time.perf_counter() - started < 6
+    started = time.perf_counter()
+    (found,) = secrets.masked(df.where("doc_id = 1")).collect()
+    assert time.perf_counter() - started < 25
+    assert not re.search(r"\b[0-9a-f]{32}\b", found["text"]) and found["text"].count("😀") == text.count("😀")
+    assert found["text"].count("password = \"[SECRET]é\"") == 10_000
+
+
+def test_masking_goes_by_characters_over_pieces(spark, monkeypatch):
+    """Pieces of any size give the same text."""
+    text = many(200)
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    whole = secrets.masked(df).first()["text"]
+    for chunk in (1, 7, 64):
+        monkeypatch.setattr(secrets, "CHUNK", chunk)
+        assert secrets.masked(df).first()["text"] == whole
