@@ -160,8 +160,8 @@ def labelled_sample(
 
     The rows are the smallest by a hash of the id, so the sample depends neither on the
     layout nor on the order of the tables. Ids with contradictory or missing labels are
-    left out, as are missing ids. ``keep`` is an optional condition on doc_id. The ids
-    are broadcast: at most ``rows`` pairs of numbers.
+    left out, as are missing ids. Of rows that repeat an id one is taken. ``keep`` is an
+    optional condition on doc_id. The ids are broadcast: at most ``rows`` pairs of numbers.
     """
     known = labels.select(plain("doc_id").cast("long").alias("doc_id"), plain(label).cast("int").alias("label"))
     known = known.where(F.col("doc_id").isNotNull() & F.col("label").isin(*values))
@@ -170,7 +170,14 @@ def labelled_sample(
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     known = known.where("label = other").drop("other")
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return id_and_text(docs).join(F.broadcast(chosen), "doc_id")
+    return one_per_id(id_and_text(docs).join(F.broadcast(chosen), "doc_id"), "doc_id", "label")
+
+
+def one_per_id(texts: DataFrame, *keys: str) -> DataFrame:
+    """One row of each value of the keys, the text with the smallest hash; chosen in the
+    task that reads the rows, so that repeated ids do not send their texts on."""
+    first = texts.groupBy(*keys).agg(F.min(F.struct(F.xxhash64("text").alias("place"), "text")).alias("first"))
+    return first.select("doc_id", F.col("first.text").alias("text"), *(k for k in keys if k != "doc_id"))
 
 
 def crc_remainder(modulus: int, id_col: str = "doc_id"):

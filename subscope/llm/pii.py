@@ -18,6 +18,7 @@ added. Extra columns are ignored.
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +41,9 @@ HOT = re.compile(r"[0-9@]\S*")
 
 LONGEST = 14  # pieces of an entity
 SAMPLE_ROWS = 3000  # documents with islands that the weights are learned from
-SAMPLE_ISLANDS = 8  # islands learned from per document
+SAMPLE_PIECES = 200  # pieces of an island learned from, at most
+SAMPLE_ALIKE = 60  # islands learned from that are equal but for letters and digits
+SAMPLE_ISLANDS = 8  # islands learned from per document, those with the smallest hashes
 EPOCHS, RATE, DECAY = 4, 0.3, 1e-4
 BLOCK = 512  # pieces whose spans are scored at a time
 
@@ -309,13 +312,14 @@ def labelled_islands(text: str) -> list[tuple[int, int, list[tuple[int, int, int
     out = []
     by_kind, long = base_spans(text)
     spans = sorted((s, e, k) for k, own in enumerate(by_kind) for s, e in own)
-    for start, end in islands(text)[:SAMPLE_ISLANDS]:
+    some = sorted(islands(text), key=lambda x: (zlib.crc32(text[x[0] : x[1]].encode()), x))[:SAMPLE_ISLANDS]
+    for start, end in sorted(some):
         own = [x for x in spans if x[0] < end and start < x[1]]
         if any(a[1] > b[0] for a, b in zip(own, own[1:])) or any(s < end and start < e for s, e in long):
             continue
         found = list(PIECE.finditer(text, start, end))
         heads, tails = {m.start(): i for i, m in enumerate(found)}, {m.end(): i + 1 for i, m in enumerate(found)}
-        if len(found) > 200 or any(s not in heads or e not in tails or tails[e] - heads[s] > LONGEST for s, e, _ in own):
+        if len(found) > SAMPLE_PIECES or any(s not in heads or e not in tails or tails[e] - heads[s] > LONGEST for s, e, _ in own):
             continue
         out.append((start, end, [(heads[s], tails[e], k) for s, e, k in own]))
     return out
@@ -340,7 +344,8 @@ def train(rows: list[tuple[str, list[tuple[int, int, int]]]]) -> SpanField | Non
 
 
 def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> SpanField | None:
-    """Weights from islands of at most ``rows`` documents, the smallest by a hash of the id."""
+    """Weights from islands of at most ``rows`` documents, the smallest by a hash of the id,
+    one row of each; and of these the bounded numbers of islands named above."""
     texts = common.id_and_text(docs)
     ids = texts.where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -360,14 +365,14 @@ def fit(docs: DataFrame, rows: int = SAMPLE_ROWS) -> SpanField | None:
                 [pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["doc_id", "start", "island", "truth"]
             )
 
-    sample = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(run, "doc_id long, start long, island string, truth array<int>")
+    sample = common.one_per_id(texts.join(F.broadcast(chosen), "doc_id"), "doc_id").mapInArrow(run, "doc_id long, start long, island string, truth array<int>")
     found = sorted((r.doc_id, r.start, r.island, r.truth) for r in sample.collect())
     # Islands of a shape that many share teach little; a few of each are enough.
     kept, seen = [], {}
     for _, _, island, truth in found:
         shape = re.sub("[a-z]+", "a", re.sub("[0-9]", "9", island))
         seen[shape] = seen.get(shape, 0) + 1
-        if seen[shape] <= 60:
+        if seen[shape] <= SAMPLE_ALIKE:
             kept.append((island, [tuple(truth[i : i + 3]) for i in range(0, len(truth), 3)]))
     return train(kept)
 
