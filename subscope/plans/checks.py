@@ -363,6 +363,15 @@ def oracle() -> dict[str, str]:
         "cv_scores": "select max_depth, step_size, 1 as has_score, 1 as chosen_is_best from "
         f"(select unnest({list(GRID['maxDepth'])}) as max_depth), "
         f"(select unnest({list(GRID['stepSize'])}::double[]) as step_size)",
+        "halving_search": f"{_processed()}, complete as (select count(*) filter (churn = 0) as no, "
+        f"count(*) filter (churn = 1) as yes from processed where {valid}) "
+        "select rung, rounds, points, survivors, points * no as predicted_no, points * yes as predicted_yes, "
+        "1 as kept_the_best from complete, (values (0, 1, 81, 27), (1, 1, 27, 9), (2, 2, 9, 3), (3, 6, 3, 1)) "
+        "as plan(rung, rounds, points, survivors)",
+        "early_stopping": f"{_processed()}, numbered as (select churn, "
+        "cast(regexp_extract(customer_id, '^c([0-9]+)-', 1) as bigint) % 5 as part from processed "
+        f"where {valid}) select churn, count(*) filter (part = 1) as held_out, count(*) filter (part <> 1) as fitted, "
+        "1 as fewer_trees, 1 as loss_not_above from numbered where part <> 0 group by churn",
         "evaluation": "select unnest(['f1_score', 'accuracy', 'weighted_precision', "
         "'weighted_recall', 'auc_roc', 'unscored_rows', 'top_importances']) as metric, 1 as agrees",
         "feature_importance": f"select unnest({list(FEATURES)}) as feature, 1 as in_order, "

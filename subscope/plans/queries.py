@@ -32,6 +32,8 @@ from . import etl, profiling, streams, training
 # A small model that trains in seconds; the full settings are the defaults of training.
 SMALL_MODEL = {"maxIter": 3, "maxDepth": 4}
 CV_ROUNDS = 2
+HALVING_ROUNDS = 6
+BY_HEART = {"maxIter": 30, "maxDepth": 8, "stepSize": 0.5, "minInstancesPerNode": 1, "minInfoGain": 0.0}
 
 # Records of a file of the streamed folder, so that it has several micro-batches.
 FILE_RECORDS = 4000
@@ -441,6 +443,50 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local.local_frame(spark, rows, schema)
 
 
+def halving_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide grid of 81 points by successive halving: rounds and points of each rung,
+    how many rows of each class its folds have predicted, and whether no point that was
+    left behind had a better score than one that went on."""
+    trained = modeling.train(
+        processed(spark, sf_dir),
+        params={"maxIter": HALVING_ROUNDS},
+        grid=modeling.WIDE_GRID,
+        search="halving",
+        parallelism=8,
+    )
+    rows = []
+    for place, rung in enumerate(trained.rungs):
+        seen = {c: sum(n for r in rung.counts for (t, _), n in r.items() if t == c) for c in (0.0, 1.0)}
+        kept = [rung.scores[i] for i in rung.survivors]
+        left = [s for i, s in enumerate(rung.scores) if i not in rung.survivors]
+        best = min(kept) >= max(left, default=0.0)
+        rows.append((place, rung.rounds, len(rung.points), len(kept), seen[0.0], seen[1.0], int(best)))
+    schema = "rung int, rounds int, points int, survivors int, predicted_no bigint, predicted_yes bigint, kept_the_best int"
+    return local.local_frame(spark, rows, schema)
+
+
+def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosting that ends on held-out rows, with deep trees and large steps, which learn the
+    fitted rows by heart: per class the rows held out and fitted; whether fewer trees than
+    asked for were kept, and whether their loss on the held-out rows is not above that of
+    all rounds."""
+    train_df, _ = _parted(processed(spark, sf_dir))
+    held_out = F.regexp_extract(ID, r"^c(\d+)-", 1).cast("long") % 5 == 1
+    early = modeling.train(train_df, params=BY_HEART, grid={}, validation=held_out)
+    fit_df, rest = train_df.where(~held_out), train_df.where(held_out)
+    full = modeling.train(fit_df, params=BY_HEART, grid={}, fit_on=train_df)
+    prepared = full.model.transform(rest).withColumn(LABEL, F.col(LABEL).cast("double"))
+    losses = full.trees.evaluateEachIteration(prepared.drop("rawPrediction", "probability", "prediction"))
+    fewer = early.trees.getNumTrees < early.trees.getMaxIter()
+    complete = train_df.where(modeling.is_complete())
+    return complete.groupBy(LABEL).agg(
+        F.count_if(held_out).alias("held_out"),
+        F.count_if(~held_out).alias("fitted"),
+        F.lit(int(fewer)).alias("fewer_trees"),
+        F.lit(int(early.held_out_losses[-1] <= losses[-1])).alias("loss_not_above"),
+    )
+
+
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each figure of the evaluation, and whether it equals one counted from the written
     predictions; the importances are looked up in the model."""
@@ -651,6 +697,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         auc,
         gbt_predictions,
         cv_scores,
+        halving_search,
+        early_stopping,
         evaluation,
         feature_importance,
         batch_scores,

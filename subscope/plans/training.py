@@ -37,9 +37,13 @@ def run_training(
     fit_on: str = "train",
     weighted: bool = False,
     run_id: str | None = None,
+    search: str = "grid",
+    validation: float | None = None,
 ) -> dict[str, Any]:
     """Split, tune, evaluate, save and record.
 
+    ``search`` and ``validation`` are those of :func:`subscope.operators.modeling.train`.
+
     ``fit_on="all"`` fits the scaler on all rows instead of the training part;
     ``weighted=True`` weights the classes inversely to their size.
     """
@@ -60,6 +64,8 @@ def run_training(
         parallelism=parallelism,
         fit_on=df if fit_on == "all" else None,
         weight=weight,
+        search=search,
+        validation=validation,
     )
     metrics = evaluate(trained.model, test_df)
     save_model(trained.model, model_path)
