@@ -48,6 +48,7 @@ def _parser() -> argparse.ArgumentParser:
     training.add_argument("--params", type=json.loads, help="tree parameters as JSON")
     training.add_argument("--grid", type=json.loads, help="value lists as JSON; {} for none")
     training.add_argument("--wide-grid", action="store_true")
+    training.add_argument("--oversample", action="store_true")
     training.add_argument("--search", choices=("grid", "halving"), default="grid")
     training.add_argument("--validation", type=float, help="share of rows held out to end the rounds by")
     training.add_argument("--folds", type=int, default=FOLDS)
@@ -120,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
                 params=args.params,
                 grid=WIDE_GRID if args.wide_grid else args.grid,
                 search=args.search,
+                oversample=args.oversample,
                 validation=args.validation,
                 folds=args.folds,
                 parallelism=args.parallelism,

@@ -363,6 +363,11 @@ def oracle() -> dict[str, str]:
         "cv_scores": "select max_depth, step_size, 1 as has_score, 1 as chosen_is_best from "
         f"(select unnest({list(GRID['maxDepth'])}) as max_depth), "
         f"(select unnest({list(GRID['stepSize'])}::double[]) as step_size)",
+        "synthetic_minority": f"{_processed()}, sizes as (select churn, count(*) as n from processed where {valid} "
+        "group by churn), added as (select churn, n, case when n = (select min(n) from sizes) "
+        "then n * ((select max(n) from sizes) // n - 1) else 0 end as new_rows from sizes) "
+        "select churn, n + new_rows as rows, new_rows, new_rows as parents_of_the_class, "
+        "new_rows as between_parents from added",
         "halving_search": f"{_processed()}, complete as (select count(*) filter (churn = 0) as no, "
         f"count(*) filter (churn = 1) as yes from processed where {valid}) "
         "select rung, rounds, points, survivors, points * no as predicted_no, points * yes as predicted_yes, "

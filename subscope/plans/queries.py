@@ -21,6 +21,7 @@ from ..operators import (
     features,
     metrics,
     modeling,
+    oversampling,
     profile,
 )
 from ..schemas import FEATURES, ID, LABEL
@@ -384,6 +385,29 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def synthetic_minority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table with new rows of its rare class: per class all rows, new ones, those whose
+    parents are both of the class, and those all of whose features lie between them."""
+    df = processed(spark, sf_dir)
+    new_rows = oversampling.balanced(df)
+    ends = []
+    for name in ("parent", "neighbour"):
+        values = F.struct(*map(plain, FEATURES)).alias(f"{name}_values")
+        ends.append(df.select(F.col(ID).alias(name), F.col(LABEL).alias(f"{name}_label"), values))
+    rows = new_rows.join(ends[0], "parent", "left").join(ends[1], "neighbour", "left")
+    within = F.lit(True)
+    for c in FEATURES:
+        a, b = (F.col(f"{name}_values")[c] for name in ("parent", "neighbour"))
+        within &= plain(c).between(F.least(a, b) - 1e-9, F.greatest(a, b) + 1e-9)
+    own = (F.col("parent_label") == F.col(LABEL)) & (F.col("neighbour_label") == F.col(LABEL))
+    return rows.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count("parent").alias("new_rows"),
+        F.count_if(own).alias("parents_of_the_class"),
+        F.count_if(within).alias("between_parents"),
+    )
+
+
 def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of a fixed rule in place of a model."""
     rule = (F.col("total_intl_minutes") >= 10) & (F.col("voice_mail_plan") == 0)
@@ -693,6 +717,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         standardized,
         split_sizes,
         class_weights,
+        synthetic_minority,
         confusion_metrics,
         auc,
         gbt_predictions,

@@ -18,6 +18,7 @@ from ..operators.modeling import (
     train,
     with_class_weight,
 )
+from ..operators.oversampling import balanced
 from ..schemas import FEATURES, ID, LABEL
 from ..sources.run_log import append_run
 from ..sources.tables import read_parquet, write_parquet
@@ -39,12 +40,14 @@ def run_training(
     run_id: str | None = None,
     search: str = "grid",
     validation: float | None = None,
+    oversample: bool = False,
 ) -> dict[str, Any]:
     """Split, tune, evaluate, save and record.
 
     ``search`` and ``validation`` are those of :func:`subscope.operators.modeling.train`.
 
     ``fit_on="all"`` fits the scaler on all rows instead of the training part;
+    ``oversample=True`` adds new rows of the rarer class to the training part;
     ``weighted=True`` weights the classes inversely to their size.
     """
     if fit_on not in ("train", "all"):
@@ -52,6 +55,8 @@ def run_training(
     df = read_parquet(spark, data_path).select(ID, LABEL, *map(plain, FEATURES))
     train_df, test_df = split_by_hash(df)
     skipped = invalid_rows(df)
+    if oversample:
+        train_df = balanced(train_df).select(ID, LABEL, *map(plain, FEATURES))
     weight = None
     if weighted:
         weight = "class_weight"
