@@ -401,6 +401,16 @@ def oracle() -> dict[str, str]:
         "as scored_events, count(known.customer_id) as events_with_batch_score "
         "from decoded left join known "
         "on decoded.customer_id = known.customer_id group by decoded.customer_id",
+        "keyed_stream": f"{_processed()}, made as (select 'cust_' || regexp_extract(customer_id, '^c([0-9]+)-', 1) "
+        "as customer_id, cast(churn as double) as prediction, daytime_ratio as probability, row_number() over ("
+        "partition by regexp_extract(customer_id, '^c([0-9]+)-', 1) order by cast(regexp_extract(customer_id, "
+        "'^c[0-9]+-([0-9]+)-', 1) as bigint) desc, daytime_ratio desc nulls last, churn desc) as place "
+        f"from processed), known as (select * from made where place = 1), event_rows as ({event_rows_sql()}), "
+        "decoded as (select case when event_id % 50 <> 0 then customer_id end as customer_id from event_rows) "
+        "select decoded.customer_id, count(*) as events, min(prediction) as least_prediction, "
+        "max(prediction) as greatest_prediction, " + _single("min(probability)", "least_probability") + ", "
+        + _single("max(probability)", "greatest_probability") + " from decoded left join known "
+        "on decoded.customer_id = known.customer_id group by decoded.customer_id",
         "job_record": f"{_processed()} select 'rows' as name, cast(count(*) as double) as value "
         "from processed union all select 'rows_without_minutes', "
         "cast(count(*) filter (where daytime_ratio is null) as double) from processed",

@@ -27,7 +27,7 @@ from ..operators import (
 from ..schemas import FEATURES, ID, LABEL
 from ..session import scratch_path
 from ..sources import fixtures, local, run_log, tables
-from ..streaming import decode, scoring, sinks, sources
+from ..streaming import decode, keyed, scoring, sinks, sources
 from . import etl, profiling, streams, training
 
 # A small model that trains in seconds; the full settings are the defaults of training.
@@ -667,6 +667,41 @@ def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with the latest score of their customer, kept in a state: the usage rows of a
+    customer, in order of their number, stand for changes of its score. The changes are
+    worked off first; then the query starts again and finds events as well."""
+    source, changes = _encoded_text(spark, sf_dir), scratch_path(spark, "score-changes")
+    events, path, checkpoint = (scratch_path(spark, n) for n in ("events", "sink", "checkpoint"))
+    number = F.regexp_extract(ID, r"^c(\d+)-(\d+)-", 2).cast("long").alias("made")
+    customer = F.concat(F.lit("cust_"), F.regexp_extract(ID, r"^c(\d+)-", 1)).alias(ID)
+    score = (F.col(LABEL).cast("double").alias("prediction"), F.col("daytime_ratio").alias("probability"))
+    made = processed(spark, sf_dir).select(customer, number, *score)
+    tables.write_parquet(made, changes)
+    spark.createDataFrame([], "value string").write.text(events)
+    before = spark.conf.get(keyed.PROVIDER, None)
+    spark.conf.set(keyed.PROVIDER, keyed.ROCKSDB)
+    try:
+        for again in (False, True):
+            if again:
+                spark.read.text(source).write.mode("append").text(events)
+            decoded = decode.enrich(decode.decode_json(sources.read_text_files(spark, events)))
+            stream = keyed.changes_from(spark.readStream.schema(made.schema).parquet(changes), "made")
+            keyed.write_keyed_stream(decoded, stream, path, checkpoint, available_now=True).awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(keyed.PROVIDER)
+        else:
+            spark.conf.set(keyed.PROVIDER, before)
+    written = tables.read_parquet(spark, path).groupBy(ID)
+    return comparable(
+        written.agg(
+            F.count(F.lit(1)).alias("events"),
+            *(f(c).alias(f"{n}_{c}") for c in keyed.SCORE for n, f in (("least", F.min), ("greatest", F.max))),
+        )
+    )
+
+
 def job_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The timed ETL job and the figures it records."""
     log, out = scratch_path(spark, "runs"), scratch_path(spark, "processed")
@@ -730,6 +765,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         model_roundtrip,
         run_metrics,
         scored_stream,
+        keyed_stream,
         job_record,
     )
 }
