@@ -65,11 +65,13 @@ class SigmaCapper:
         bounds = []
         for c in columns:
             row = stats.get(c)
-            mean = None if row is None else _known(row["mean"])
-            std = None if row is None else _known(row["std"])
-            bounds.append(self._bounds(c, mean, std))
+            bounds.append(self.of_moments(c, row and row["mean"], row and row["std"]))
         return SigmaCapModel(bounds)
 
+    def of_moments(self, column: str, mean: float | None, std: float | None) -> ColumnBounds:
+        """The bounds of a column whose mean and deviation are known."""
+        return self._bounds(column, _known(mean), _known(std))
+
     def _bounds(
         self, column: str, mean: float | None, std: float | None
     ) -> ColumnBounds:

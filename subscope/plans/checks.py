@@ -309,6 +309,13 @@ def oracle() -> dict[str, str]:
         "box_stats_by_label": _boxes(),
         "correlation_matrix": _correlation(lower=False),
         "correlation_lower": _correlation(lower=True),
+        "merged_correlation": _correlation(lower=False),
+        "merged_profile": _profile(
+            "avg(v) as m, stddev_samp(v) as s, min(v) as lo, max(v) as hi, "
+            "count(*) - count(v) as null_count",
+            f"{_single('m', 'mean')}, {_single('s', 'std')}, {_single('lo', 'min')}, "
+            f"{_single('hi', 'max')}, null_count",
+        ),
         "eda_report": f"with {_encoded()} select count(*) as total_records, "
         f"{_single('count(*) filter (where churn = 1) / count(*) * 100', 'label_rate')}, "
         f"'{_names(_NUMERIC)}' as numeric_columns, 'area_code' as categorical_columns "

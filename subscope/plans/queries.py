@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import plain
+from ..functions import numeric_columns, plain
 from ..operators import (
     cleaning,
     correlation,
@@ -21,6 +21,7 @@ from ..operators import (
     features,
     metrics,
     modeling,
+    moments,
     oversampling,
     profile,
 )
@@ -235,6 +236,26 @@ def correlation_lower(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_correlation(correlation.correlation_lower(processed(spark, sf_dir)))
 
 
+def _stored_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table in seven parts, of which each has been stored by itself, and one
+    twice; all merged."""
+    df, path = processed(spark, sf_dir), scratch_path(spark, "moments")
+    part = F.regexp_extract(ID, r"^c(\d+)-", 1).cast("long") % 7
+    for i in (0, *range(7)):
+        moments.store_part(df.where(part == i), path, f"p{i}")
+    return moments.merged(moments.stored(spark, path))
+
+
+def merged_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    figures = moments.profile(_stored_moments(spark, sf_dir))
+    return comparable(figures.select("column", "mean", "std", "min", "max", "null_count"))
+
+
+def merged_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = numeric_columns(processed(spark, sf_dir))
+    return _rounded_correlation(moments.correlation(_stored_moments(spark, sf_dir), names))
+
+
 def eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(profile.report_summary(processed(spark, sf_dir)))
 
@@ -741,6 +762,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         box_stats_approx,
         correlation_matrix,
         correlation_lower,
+        merged_profile,
+        merged_correlation,
         eda_report,
         profile_job,
         stream_decode,
