@@ -4,8 +4,11 @@ A document's set is its distinct shingles as 64-bit hashes, sorted. Equal sets a
 from the start. Sizes fall into bands that a similar partner can leave by one at most; a
 tile is two neighbouring bands. Similar sets of a tile differ in at most D elements, so of
 more than D parts of the hash space, one holds the same elements in both: the hash of each
-part is a key that similar sets share. Parts that are empty in a set give no key while
-enough others remain, and do give one otherwise, so that no pair is lost.
+part is a key that similar sets share. Empty parts give no key. There are more parts than D
+by what random sets leave empty, as a rule; a set that leaves more of them empty than a
+similar partner could account for is cut into parts once more by another hash, and both
+partners are if only empty parts are equal in them. So no pair is lost, and keys are shared
+by sets that are alike somewhere, not by all that lack something.
 
 The smallest node of a key is its pivot; all others of the key are paired with it, not with
 each other. Two nodes of one key are both in the family of its pivot, so what remains after
@@ -41,6 +44,7 @@ from .words import mix, windows, words_of
 
 BITMAP_BITS = 1024  # least bits of a bitmap
 FILTER_BITS = 1 << 25  # bits of the filter for documents whose sets are needed
+SEEDS = 6  # hashes tried for sets that leave too many parts empty
 FAMILY_BLOCK = 4096  # nodes of a family block
 BLOCK_ROWS = 64
 BLOCK_WORDS = 1 << 22  # 64-bit words compared at a time
@@ -69,12 +73,23 @@ class Rule:
             out.append(out[-1] * self.den // self.num + 1)
         return np.array([*out, out[-1] * self.den // self.num + 1], dtype=np.int64)
 
-    def parts(self, bands: np.ndarray, tile: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Parts of each tile and how many of them may be empty; no parts: only equal sets."""
+    def most_differing(self, n):
+        """The most elements in which a set of that size differs from a similar one."""
+        return self.differing(n + n * self.den // self.num)
+
+    def parts(self, bands: np.ndarray, tile: np.ndarray) -> np.ndarray:
+        """Parts of each tile, none where only equal sets are similar: more than similar
+        sets differ in, by those that a set of middle size leaves empty, and two deviations."""
         low = bands[tile + 1] - 1
-        differing = self.differing(low + low * self.den // self.num)
-        spare = 3 + differing // 64
-        return np.where(differing > 0, differing + 1 + spare, 0), spare
+        differing = self.most_differing(low)
+        spare = np.full(len(tile), 3, dtype=np.int64)
+        for _ in range(40):
+            parts = differing + 1 + spare
+            share = np.exp(-low / parts)
+            empty = parts * share
+            deviation = np.sqrt(empty * np.maximum(1 - (1 + low / parts) * share, 0))
+            spare = np.maximum(spare, np.ceil(empty + 2 * deviation).astype(np.int64))
+        return np.where(differing > 0, differing + 1 + spare, 0)
 
 
 @dataclass
@@ -127,37 +142,49 @@ def keys_of(sets: Sets, rule: Rule, bands: np.ndarray) -> tuple[np.ndarray, np.n
     """The keys of all sets and the set each belongs to."""
     sizes = sets.sizes
     band = np.searchsorted(bands, sizes, side="right") - 1
-    all_keys, owners = [], []
+    all_keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for shift in (0, 1):  # as a smaller and as a larger partner
-        tile = band - shift
-        used = (sizes > 0) & (tile >= 0)
-        parts, spare = rule.parts(bands, np.maximum(tile, 0))
-        parts = np.where(used, parts, 0)
-        chosen = parts > 0
-        inside = np.repeat(chosen, sizes)
-        values, doc = sets.values[inside], sets.doc[inside]
-        if not len(values):
-            continue
-        part = ((values >> np.uint64(32)) * parts[doc].astype(np.uint64)) >> np.uint64(32)
-        head = np.ones(len(values), dtype=bool)
-        head[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])
-        at = np.flatnonzero(head)
-        sums = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at)
-        owner, place = doc[at], part[at]
-        salt = tile[owner].astype(np.uint64) << np.uint64(40) | place
-        all_keys.append(mix(sums + mix(salt + np.uint64(1))))
-        owners.append(owner)
-        # Sets with too many empty parts also give the keys of these.
-        empty = parts - np.bincount(owner, minlength=len(sizes))
-        for d in np.flatnonzero(chosen & (empty > spare)):
+        tile = np.maximum(band - shift, 0)
+        parts = np.where((sizes > 0) & (band >= shift), rule.parts(bands, tile), 0)
+        # Similar sets are equal in all but so many parts: in more than can be empty.
+        low = bands[tile + 1] - 1
+        spare = parts - 1 - np.minimum(rule.most_differing(low), rule.most_differing(sizes))
+        left = parts > 0
+        for seed in range(SEEDS):
+            key, owner, place = _part_keys(sets, np.where(left, parts, 0), tile, seed)
+            all_keys.append(key)
+            owners.append(owner)
+            left &= parts - np.bincount(owner, minlength=len(sizes)) > spare
+            if not left.any():
+                break
+        # What every hash leaves too empty also gives the keys of the last one's empty parts.
+        for d in np.flatnonzero(left):
             missing = np.setdiff1d(np.arange(parts[d], dtype=np.uint64), place[owner == d])
             all_keys.append(mix(mix((np.uint64(tile[d]) << np.uint64(40) | missing) + np.uint64(2))))
             owners.append(np.full(len(missing), d))
-    if not all_keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(all_keys).view(np.int64), np.concatenate(owners)
 
 
+def _part_keys(sets: Sets, parts: np.ndarray, tile: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the parts that are not empty, with their sets and the parts' numbers."""
+    inside = np.repeat(parts > 0, sets.sizes)
+    values, doc = sets.values[inside], sets.doc[inside]
+    spread = values if seed == 0 else mix(values + np.uint64(0x9E3779B97F4A7C15 * seed % 2**64))
+    part = ((spread >> np.uint64(32)) * parts[doc].astype(np.uint64)) >> np.uint64(32)
+    if seed:
+        order = np.lexsort((part, doc))
+        values, doc, part = values[order], doc[order], part[order]
+    head = np.ones(len(values), dtype=bool)
+    head[1:] = (part[1:] != part[:-1]) | (doc[1:] != doc[:-1])
+    at = np.flatnonzero(head)
+    if not len(at):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    sums = np.add.reduceat(mix(values ^ np.uint64(0x5851F42D4C957F2D)), at)
+    owner, place = doc[at], part[at]
+    salt = np.uint64(seed) << np.uint64(60) | tile[owner].astype(np.uint64) << np.uint64(40) | place
+    return mix(sums + mix(salt + np.uint64(1))), owner, place
+
+
 def fingerprints(docs: DataFrame, rule: Rule) -> DataFrame:
     """doc_id, n_shingles and the fingerprint of each document's set."""
 
@@ -326,16 +353,25 @@ def _families(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame
 
     ``groups`` holds node, label of nodes that links already join; others stand alone. The
     pivot itself is no row: all pairs with it have been tested. Blocks keep a family of any
-    size from meeting in one task.
+    size from meeting in one task. Nodes of the family's largest group meet the others only,
+    not each other: a few strays of a large group cost as many rows as it has nodes.
     """
     label = F.coalesce("label", "node").alias("label")
     named = common.checkpointed(pairs.join(groups, "node", "left").select("pivot", "node", label), "families")
-    sizes = named.groupBy("pivot").agg(F.count(F.lit(1)).alias("g"), F.min("label").alias("low"), F.max("label").alias("high"))
-    blocks = F.ceil(F.col("g") / FAMILY_BLOCK).cast("int").alias("blocks")
-    sizes = common.checkpointed(sizes.where("low <> high").select("pivot", blocks), "family-sizes")
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int")
-    rows = named.join(sizes, "pivot").withColumn("block", block)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sizes = named.groupBy("pivot", "label").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.groupBy("pivot").agg(F.sum("n").alias("g"), F.max(F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+
+    def blocks(rows):
+        return F.ceil(rows / FAMILY_BLOCK).cast("int")
+
+    sizes = sizes.where("labels > 1").select(
+        "pivot", F.col("main.label").alias("main"), blocks(F.col("g") - F.col("main.n")).alias("strays"), blocks(F.col("main.n")).alias("mains")
+    )
+    rows = named.join(common.checkpointed(sizes, "family-sizes"), "pivot")
+    is_main, place = F.col("label") == F.col("main"), F.xxhash64("node", F.lit(1))
+    block = F.when(is_main, F.col("strays") + F.pmod(place, F.col("mains"))).otherwise(F.pmod(place, F.col("strays"))).cast("int")
+    last = F.when(is_main, F.col("strays")).otherwise(F.col("strays") + F.col("mains")) - 1
+    rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     tile = (F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     return rows.select("pivot", "node", "label", "block", *tile).join(sets.select("node", "n", "bitmap"), "node")
 

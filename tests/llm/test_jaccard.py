@@ -160,3 +160,48 @@ def test_connected(spark):
     labels = graph.connected(spark.createDataFrame(chain, "a long, b long"))
     found = {r.node: r.label for r in labels.collect()}
     assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 150: 150, 200: 150}
+
+
+@pytest.mark.parametrize("rule", [jaccard.OP1_RULE, jaccard.Rule(), jaccard.Rule(2, 60, 100)])
+@pytest.mark.parametrize("size", [30, 100, 800])
+def test_unrelated_sets_share_no_key(rule, size):
+    """Of up to 20,000 random sets, of which none are similar, few or none share a key."""
+    rng = np.random.default_rng(size)
+    sizes = rng.integers(size * 7 // 10, size * 13 // 10, min(20_000, 2_000_000 // size))
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    values = rng.integers(0, 2**64, first[-1], dtype=np.uint64)
+    for a, b in zip(first[:-1], first[1:]):
+        values[a:b].sort()
+    keys, _ = jaccard.keys_of(jaccard.Sets(values, first), rule, rule.bands(int(sizes.max())))
+    _, held = np.unique(keys, return_counts=True)
+    assert held.max() <= max(3, len(sizes) // 1000)
+    assert (held > 1).sum() <= len(keys) // 1000
+
+
+def test_sets_that_leave_every_hash_too_empty():
+    """Their empty parts are keys, so that similar ones still share some."""
+    rule, sizes = jaccard.Rule(), (100, 101)
+    bands = rule.bands(101)
+    # Elements that all fall into a few parts, whatever is done to them, are out of reach
+    # of a test; without any spare part every set is too empty instead.
+    tight = type("Tight", (jaccard.Rule,), {"parts": lambda self, bands, tile: np.full(len(tile), 26)})(5, 80, 100)
+    shared = np.sort(np.random.default_rng(1).integers(0, 2**64, 100, dtype=np.uint64))
+    other = np.sort(np.append(shared[:95], np.random.default_rng(2).integers(0, 2**64, 6, dtype=np.uint64)))
+    sets = jaccard.Sets(np.concatenate((shared, other)), np.concatenate(([0], np.cumsum(sizes))))
+    keys, owner = jaccard.keys_of(sets, tight, bands)
+    assert set(keys[owner == 0]) & set(keys[owner == 1])
+
+
+def test_strays_of_a_large_group_are_dealt_once(spark, monkeypatch):
+    """A group of any size in a family meets the family's other nodes, not itself."""
+    monkeypatch.setattr(jaccard, "FAMILY_BLOCK", 10)
+    pairs = spark.createDataFrame([(0, n) for n in range(1, 104)], "pivot long, node long")
+    groups = spark.createDataFrame([(n, 1) for n in range(1, 101)], "node long, label long")
+    sets = spark.createDataFrame([(n, 5, b"") for n in range(104)], "node long, n long, bitmap binary")
+    rows = jaccard._families(pairs, groups, sets).collect()
+    assert len([r for r in rows if r["node"] <= 100]) == 100
+    tiles = {}
+    for r in rows:
+        tiles.setdefault((r["i"], r["j"]), set()).add(r["node"])
+    met = {(a, b) for nodes in tiles.values() for a in nodes for b in nodes}
+    assert {(a, b) for a in range(101, 104) for b in range(1, 104)} <= met
