@@ -71,7 +71,7 @@ class ByteLevel:
 
     def encode(self, text: str) -> np.ndarray:
         if AGREED.fullmatch(text) and not LONG_WORD.search(text):
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+            return np.array(self.fast.encode_ordinary(text), dtype=np.int64)
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.int64)
 
 
@@ -128,43 +128,50 @@ def common_ends(ends: np.ndarray, others: np.ndarray, low: np.ndarray, high: np.
     """
     found = np.zeros(len(ends), dtype=bool)
     found[high] = True
-    # Intervals whose middle is looked at next, and how far from it the search has come.
     low, high = low[high > low], high[high > low]
-    reach = np.zeros(len(low), dtype=np.int64)
     while len(low):
         middle = (low + high - 1) >> 1
-        # Places at a distance from reach to 2 * reach on both sides; the middle at first.
-        far = np.maximum(2 * reach - 1, 0)
-        left, left_end = np.maximum(middle - far, low), np.where(reach == 0, middle, middle - reach)
-        right, right_end = middle + np.maximum(reach, 1), np.where(reach == 0, middle, np.minimum(middle + far, high - 1))
-        n_left, n_right = np.maximum(left_end - left + 1, 0), np.maximum(right_end - right + 1, 0)
-        counts = n_left + n_right
-        owner = np.repeat(np.arange(len(low)), counts)
+        cut = np.where(_among(ends[middle], others), middle, -1)
+        rest = np.flatnonzero(cut < 0)
+        cut[rest] = _nearest(ends, others, low[rest], high[rest], middle[rest])
+        hit = cut >= 0
+        found[cut[hit]] = True
+        # Both halves of each interval, in order, so that values are looked up in order.
+        low = np.stack((low[hit], cut[hit] + 1), axis=1).ravel()
+        high = np.stack((cut[hit], high[hit]), axis=1).ravel()
+        low, high = low[high > low], high[high > low]
+    return found
+
+
+def _among(values: np.ndarray, others: np.ndarray) -> np.ndarray:
+    return others[np.minimum(np.searchsorted(others, values), len(others) - 1)] == values
+
+
+def _nearest(ends: np.ndarray, others: np.ndarray, low: np.ndarray, high: np.ndarray, middle: np.ndarray) -> np.ndarray:
+    """Per interval the place nearest to its middle whose end is common, or -1: places at
+    distances from 1, from 2, from 4 and so on, on both sides."""
+    cut = np.full(len(low), -1, dtype=np.int64)
+    open_, reach = np.flatnonzero((middle > low) | (middle < high - 1)), 1
+    while len(open_):
+        at = middle[open_]
+        left, right = np.maximum(at - 2 * reach + 1, low[open_]), at + reach
+        n_left = np.maximum(at - reach - left + 1, 0)
+        counts = n_left + np.maximum(np.minimum(at + 2 * reach - 1, high[open_] - 1) - right + 1, 0)
+        owner = np.repeat(np.arange(len(open_)), counts)
         step = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        after = step - n_left[owner]
-        place = np.where(after < 0, left[owner] + step, right[owner] + after)
-        value = ends[place]
-        at = np.searchsorted(others, value)
-        hit = others[np.minimum(at, len(others) - 1)] == value
-        # Of an interval's hits the nearest to the middle cuts it.
+        place = np.where(step < n_left[owner], left[owner] + step, right[owner] + step - n_left[owner])
+        hit = _among(ends[place], others)
         owner, place = owner[hit], place[hit]
-        order = np.lexsort((np.abs(place - middle[owner]), owner))
-        owner, place = owner[order], place[order]
-        nearest = np.ones(len(owner), dtype=bool)
-        nearest[1:] = owner[1:] != owner[:-1]
-        owner, place = owner[nearest], place[nearest]
-        found[place] = True
-        open_ = np.ones(len(low), dtype=bool)
-        open_[owner] = False
-        # Without a hit: further out, until nothing of the interval is left.
-        further = np.where(reach == 0, 1, 2 * reach)
-        open_ &= (middle - further >= low) | (middle + further <= high - 1)
-        lows = np.concatenate((low[open_], low[owner], place + 1))
-        highs = np.concatenate((high[open_], place, high[owner]))
-        reach = np.concatenate((further[open_], np.zeros(2 * len(owner), dtype=np.int64)))
-        more = highs > lows
-        low, high, reach = lows[more], highs[more], reach[more]
-    return found
+        far = np.abs(place - at[owner])
+        least = np.full(len(open_), 2 * reach)
+        np.minimum.at(least, owner, far)
+        nearest = far == least[owner]
+        cut[open_[owner[nearest]]] = place[nearest]
+        reach *= 2
+        more = cut[open_] < 0
+        more &= (at - reach >= low[open_]) | (at + reach <= high[open_] - 1)
+        open_ = open_[more]
+    return cut
 
 
 @dataclass
