@@ -342,8 +342,11 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 keep.append(rule.similar(len(x), len(y), int((both[1:] == both[:-1]).sum())))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = sets.select(F.col("node").alias("a"), F.col("data").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("data").alias("y"))
+    # Sets are large and few of them may be asked for: only those are moved.
+    ends = {c: common.checkpointed(pairs.select(F.col(c).alias("node")).distinct(), "asked-sets") for c in "ab"}
+    asked = {c: sets.join(ends[c], "node", "left_semi") for c in "ab"}
+    left = asked["a"].select(F.col("node").alias("a"), F.col("data").alias("x"))
+    right = asked["b"].select(F.col("node").alias("b"), F.col("data").alias("y"))
     # The pivots may be in very many pairs, so their side is joined last and not moved on.
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
