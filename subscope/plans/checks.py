@@ -333,6 +333,10 @@ def oracle() -> dict[str, str]:
         "else 'event' end as kind, count(*) as records from events group by all",
         "stream_end_to_end": _events(event_fields, enriched=True),
         "stream_restart": _events(event_fields, enriched=True),
+        "stream_quarantine": f"with event_rows as ({event_rows_sql()}), marked as (select "
+        "case when event_id % 50 <> 0 then customer_id end as customer_id, case when event_id % 50 = 0 then '<record>' "
+        "when sms_count = 5 then 'sms_count,location_lat' when sms_count = 7 then 'location_lat' else '' end as failing "
+        "from event_rows) select customer_id, failing, count(*) as records, count(*) as placed from marked group by all",
         "assembled_features": f"{_processed()} select customer_id, "
         + _names(_single(c, c) for c in FEATURES)
         + f" from processed where {valid}",
@@ -364,6 +368,11 @@ def oracle() -> dict[str, str]:
         "cast(0 as bigint) as not_in_table from (select * from usage_raw limit 5)",
         "box_stats_approx": f"{_processed()}, {_values(FEATURES)} select churn, "
         '"column", count(*) as rows, 1 as within_accuracy from vals group by churn, "column"',
+        "sketched_boxes": f"{_processed()}, {_values(FEATURES)} select churn, "
+        f'"column", count(*) as rows, {_single("min(v)", "low")}, {_single("max(v)", "high")}, '
+        '1 as within_accuracy from vals group by churn, "column"',
+        "sketched_histogram": f"{_processed()}, {_values(FEATURES)} select churn, "
+        '"column", count(*) as rows, count(*) as counted, 1 as bins_within from vals group by churn, "column"',
         "gbt_predictions": f"{_processed()} select customer_id, churn, "
         f"cast({valid} as int) as scored, cast({valid} as int) as follows_probability "
         "from processed where cast(regexp_extract(customer_id, '^c([0-9]+)-', 1) as bigint) % 5 = 0",

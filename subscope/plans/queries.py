@@ -24,11 +24,12 @@ from ..operators import (
     moments,
     oversampling,
     profile,
+    sketches,
 )
 from ..schemas import FEATURES, ID, LABEL
 from ..session import scratch_path
 from ..sources import fixtures, local, run_log, tables
-from ..streaming import decode, keyed, scoring, sinks, sources
+from ..streaming import decode, keyed, quarantine, scoring, sinks, sources
 from . import etl, profiling, streams, training
 
 # A small model that trains in seconds; the full settings are the defaults of training.
@@ -195,11 +196,9 @@ def box_stats_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(distribution.box_stats_by_label(processed(spark, sf_dir)))
 
 
-def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per class and column: the values, and whether each approximate quartile has a rank
-    within the accuracy of the exact one."""
-    df = processed(spark, sf_dir)
-    boxes = distribution.box_stats_by_label(df, method="approx")
+def _ranks_within(df: DataFrame, boxes: DataFrame, share: float) -> DataFrame:
+    """Per class and column: the values, and whether each quartile of ``boxes`` has a rank
+    within that share of the values (and one) of the exact one."""
     names = list(FEATURES)
     values = df.select(LABEL, *(F.col(c).cast("double").alias(c) for c in names))
     long = values.unpivot([LABEL], names, "column", "v").where("v is not null")
@@ -212,7 +211,7 @@ def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(F.col("v") <= F.col(name)).alias(f"to_{name}"),
         ]
     grouped = joined.groupBy(LABEL, "column").agg(*counts)
-    slack = F.col("rows") / 10_000 + 1
+    slack = F.col("rows") * share + 1
     right = [
         (F.col(f"below_{n}") <= p * F.col("rows") + slack)
         & (F.col(f"to_{n}") >= p * F.col("rows") - slack)
@@ -222,6 +221,45 @@ def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select(LABEL, "column", "rows", within.alias("within_accuracy"))
 
 
+def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per class and column: the values, and whether each approximate quartile has a rank
+    within the accuracy of the exact one."""
+    df = processed(spark, sf_dir)
+    boxes = distribution.box_stats_by_label(df, method="approx")
+    return _ranks_within(df, boxes, 1 / 10_000)
+
+
+def sketched_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes from the sketches of seven stored parts, one of them stored twice: counts and
+    extremes as they are, and whether the quartiles are within twice the rank error."""
+    df, path = processed(spark, sf_dir), scratch_path(spark, "sketches")
+    part = F.regexp_extract(ID, r"^c(\d+)-", 1).cast("long") % 7
+    for i in (0, *range(7)):
+        sketches.store_part(df.where(part == i), path, f"p{i}", FEATURES)
+    boxes = sketches.boxes(sketches.merged(sketches.stored(spark, path)))
+    within = _ranks_within(df, boxes, 2 * sketches.rank_error()).drop("rows")
+    own = boxes.select(LABEL, "column", F.col("count").alias("rows"), "low", "high")
+    return comparable(own.join(within, [LABEL, "column"]))
+
+
+def sketched_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histograms from the sketches of all rows: the values of each class and column over
+    all bins, and whether each bin is within four times the rank error of its exact count."""
+    df = processed(spark, sf_dir)
+    found = sketches.histogram(sketches.part_sketches(df, FEATURES))
+    exact = df.select(LABEL, *(F.col(c).cast("double").alias(c) for c in FEATURES))
+    exact = exact.unpivot([LABEL], list(FEATURES), "column", "v").where("v is not null")
+    inside = (F.col("v") >= F.col("left")) & ((F.col("v") < F.col("right")) | (F.col("v") == F.col("right")) & (F.col("bin") == 29))
+    edges = found.select(LABEL, "column", "bin", "left", "right")
+    counts = exact.join(edges, [LABEL, "column"]).where(inside).groupBy(LABEL, "column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    both = found.join(counts, [LABEL, "column", "bin"], "left").fillna(0, ["n"])
+    sums = both.groupBy(LABEL, "column").agg(
+        F.sum("count_about").alias("rows"), F.sum("n").alias("counted"), F.max(F.abs(F.col("count_about") - F.col("n"))).alias("off")
+    )
+    close = F.col("off") <= 4 * sketches.rank_error() * F.col("rows") + 1
+    return sums.select(LABEL, "column", "rows", "counted", close.cast("int").alias("bins_within"))
+
+
 def _rounded_correlation(df: DataFrame) -> DataFrame:
     # Near zero a correlation has no stable single-precision value; six places are.
     value = F.round("correlation", 6) + F.lit(0.0)
@@ -352,6 +390,36 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_parquet(spark, path))
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of which some have no JSON or texts in place of numbers, in two runs on one
+    checkpoint: how many of each customer are in the table, and with what in quarantine."""
+    events, path, bad = (scratch_path(spark, n) for n in ("events", "sink", "quarantine"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    value = F.col("value")
+    for number, field in ((5, "sms_count"), (5, "location_lat"), (7, "location_lat")):
+        spoiled = F.regexp_replace(value, f'"{field}":[-0-9.E]+', f'"{field}":"unknown"')
+        value = F.when(F.col("value").rlike(f'"sms_count":{number}[,}}]'), spoiled).otherwise(value)
+    encoded = fixtures.encoded_events(spark, sf_dir).select(value.alias("value"))
+    early = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (encoded.where(early), encoded.where(~early), None):
+        if part is not None:
+            part.write.mode("append").text(events)
+        source = sources.read_text_files(spark, events)
+        place = [F.col("_metadata.file_path").alias("file")]
+        quarantine.write_parted_stream(
+            source, path, bad, checkpoint, position=place, transform=decode.enrich, available_now=True
+        ).awaitTermination()
+    good = quarantine.read_batches(spark, path).select("customer_id", F.lit("").alias("failing"), F.lit(1).alias("placed"))
+    rest = quarantine.read_batches(spark, bad)
+    rest = rest.select(
+        F.get_json_object("raw", "$.customer_id").alias("customer_id"),
+        F.array_join("failing", ",").alias("failing"),
+        F.get_json_object("position", "$.file").isNotNull().cast("int").alias("placed"),
+    )
+    grouped = good.unionByName(rest).groupBy("customer_id", "failing")
+    return grouped.agg(F.count(F.lit(1)).alias("records"), F.sum("placed").alias("placed"))
+
+
 # Models
 
 
@@ -760,6 +828,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         kde_binned,
         box_stats_by_label,
         box_stats_approx,
+        sketched_boxes,
+        sketched_histogram,
         correlation_matrix,
         correlation_lower,
         merged_profile,
@@ -771,6 +841,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_parquet_sink,
         stream_end_to_end,
         stream_restart,
+        stream_quarantine,
         assembled_features,
         standardized,
         split_sizes,
