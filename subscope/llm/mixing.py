@@ -14,8 +14,9 @@ tokens, which makes a step of length one safe and makes rates depend on posterio
 Defined cases: a NULL text is empty, has no tokens and the posterior of an empty text; NULL
 ids are returned as NULL and get a rate like any other; repeated rows count one by one;
 without labels all domains are equally likely; contradictory labels are not learned from;
-a domain with fewer tokens than its share is repeated to fill it, unless ``repeats`` is
-False; a share above every document's posterior cannot be met by any rates, so such a
+a domain with fewer tokens than its share is repeated to fill it, each document ``most``
+times at most, unless ``repeats`` is False; what is then still missing is the gap that
+``achieved`` returns; a share above every document's posterior cannot be met by any rates, so such a
 domain keeps the tokens it holds; an empty table gives no rows. Extra columns are ignored.
 What was asked and what the copies give is logged per domain.
 """
@@ -44,7 +45,7 @@ ALPHA = 1.0
 ROUNDS = 25
 TOLERANCE = 1e-5
 NOISE = 1e-6  # rates so near to a whole number differ from it by rounding errors only
-SNAP = 0.1  # of copies() only, which no operator uses
+MOST = 64.0  # most copies of a document; a domain that would need more keeps a gap, which is reported
 
 
 def _domain_labels(labels: DataFrame) -> DataFrame:
@@ -109,7 +110,7 @@ def memberships(docs: DataFrame, weights: np.ndarray) -> DataFrame:
     return common.by_pieces(common.id_and_text(docs), _posteriors(weights), MEMBERS)
 
 
-def _fold(steps: list[np.ndarray], posterior: str, result: str) -> Column:
+def _fold(steps: list[np.ndarray], posterior: str, result: str, most: float) -> Column:
     """What a document is at after some steps: its rate, or the point ahead of it."""
     if not steps:
         return F.lit(1.0)
@@ -120,23 +121,24 @@ def _fold(steps: list[np.ndarray], posterior: str, result: str) -> Column:
 
     def move(state: Column, step: Column) -> Column:
         drop = sum((own[k] * step[k] for k in domains), F.lit(0.0))
-        rate = F.greatest(F.lit(0.0), state["ahead"] - drop)
+        rate = F.least(F.lit(float(most)), F.greatest(F.lit(0.0), state["ahead"] - drop))
         ahead = rate + step[len(domains)] * (rate - state["rate"])
         return F.struct(rate.alias("rate"), ahead.alias("ahead"))
 
     return F.aggregate(listed, start, move, lambda state: state[result])
 
 
-def rate_of(steps: list[np.ndarray], posterior: str = "posterior") -> Column:
-    """The rate after some steps: each moves against a gradient, then back to zero or more.
+def rate_of(steps: list[np.ndarray], posterior: str = "posterior", most: float = MOST) -> Column:
+    """The rate after some steps: each moves against a gradient, then back between zero and
+    ``most``.
 
     A step is its move per domain and the momentum that the next one starts with.
     """
-    return _fold(steps, posterior, "rate")
+    return _fold(steps, posterior, "rate", most)
 
 
-def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> list[np.ndarray]:
-    """Steps whose rates bring the expected tokens per domain to ``targets``."""
+def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS, most: float = MOST) -> list[np.ndarray]:
+    """Steps whose rates of at most ``most`` bring the expected tokens per domain to ``targets``."""
     k = len(targets)
     p = [F.col("posterior")[i] for i in range(k)]
     moments = members.agg(*(F.sum(F.col("n_tokens") * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(i, k))).first()
@@ -148,7 +150,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) ->
     steps: list[np.ndarray] = []
     pace = 1.0
     for _ in range(rounds):
-        point = members.select("n_tokens", "posterior", _fold(steps, "posterior", "ahead").alias("at"))
+        point = members.select("n_tokens", "posterior", _fold(steps, "posterior", "ahead", most).alias("at"))
         sums = point.agg(*(F.sum(F.col("at") * F.col("n_tokens") * p[i]).alias(f"t{i}") for i in range(k))).first()
         missing = np.array([sums[f"t{i}"] or 0.0 for i in range(k)]) - targets
         if np.abs(missing).max() <= TOLERANCE * max(targets.sum(), 1.0):
@@ -196,55 +198,62 @@ def drawn(rate: Column, row_hash: Column) -> Column:
     return F.when(F.abs(rate - near) <= NOISE, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
 
 
-def copies(rate: Column, row_hash: Column) -> Column:
-    """As drawn(), but rates within SNAP of a whole number become that number.
+def _copies(steps: list[np.ndarray], names: dict[str, str], most: float) -> Column:
+    return drawn(rate_of(steps, names["posterior"], most), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
 
-    That loses rates of 0.1 or less, so the operators draw; a test holds this rule.
-    """
-    near = F.round(rate)
-    share = F.pmod(row_hash, F.lit(1 << 20)) / float(1 << 20)
-    return F.when(F.abs(rate - near) <= SNAP, near).otherwise(F.floor(rate) + (share < rate - F.floor(rate)).cast("int")).cast("long")
 
-
-def _copies(steps: list[np.ndarray], names: dict[str, str]) -> Column:
-    return drawn(rate_of(steps, names["posterior"]), F.xxhash64(plain(names["doc_id"]), plain(names["n_tokens"])))
+OWN_NAMES = {name: name for name in ("doc_id", "n_tokens", "posterior")}
 
 
-OWN_NAMES = {name: name for name in ("doc_id", "n_tokens", "posterior")}
+def _steps(members: DataFrame, targets: dict[tuple[int, int], float], repeats: bool, most: float) -> list[np.ndarray]:
+    if most < 1:
+        raise ValueError("a document may be taken once at least")
+    shares = np.array([targets.get(d, 0.0) for d in DOMAINS], dtype=np.float64)
+    shares /= shares.sum()
+    steps = fit_rates(members, (full_targets if repeats else reachable)(members, shares), most=most)
+    got = members.withColumn("copies", _copies(steps, OWN_NAMES, most))
+    for r in achieved(got, targets):
+        log.info("quality %d, toxic %d: share asked %.4f, achieved %.4f (%.0f tokens)", r["quality"], r["toxic"], r["asked"], r["achieved"], r["tokens"])
+    return steps
 
 
-def _steps(members: DataFrame, targets: dict[tuple[int, int], float], repeats: bool) -> list[np.ndarray]:
+def achieved(rows: DataFrame, targets: dict[tuple[int, int], float] = TARGETS) -> list[dict]:
+    """Per domain of a result of mixed(): the share of tokens asked and achieved by the
+    copies, the gap between them and the tokens. One row of sums comes to the driver."""
     shares = np.array([targets.get(d, 0.0) for d in DOMAINS], dtype=np.float64)
     shares /= shares.sum()
-    steps = fit_rates(members, (full_targets if repeats else reachable)(members, shares))
-    got = members.withColumn("n_tokens", F.col("n_tokens") * _copies(steps, OWN_NAMES))
-    tokens = held_tokens(got, len(shares))[0]
+    tokens = held_tokens(rows.withColumn("n_tokens", F.col("n_tokens") * F.col("copies")), len(shares))[0]
     total = max(tokens.sum(), 1.0)
-    for domain, share, own in zip(DOMAINS, shares, tokens):
-        log.info("quality %d, toxic %d: share asked %.4f, achieved %.4f (%.0f tokens)", *domain, share, own / total, own)
-    return steps
+    return [
+        {"quality": d[0], "toxic": d[1], "asked": float(a), "achieved": float(t / total), "gap": float(a - t / total), "tokens": float(t)}
+        for d, a, t in zip(DOMAINS, shares, tokens)
+    ]
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True) -> DataFrame:
+def mixed(
+    docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True, most: float = MOST
+) -> DataFrame:
     """doc_id, n_tokens, posterior, rate and copies of each document."""
     members = common.checkpointed(memberships(docs, fit(docs, labels)), "memberships")
-    steps = _steps(members, targets, repeats)
-    return members.withColumn("rate", rate_of(steps)).withColumn("copies", _copies(steps, OWN_NAMES))
+    steps = _steps(members, targets, repeats, most)
+    return members.withColumn("rate", rate_of(steps, most=most)).withColumn("copies", _copies(steps, OWN_NAMES, most))
 
 
-def taken(docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True) -> DataFrame:
+def taken(
+    docs: DataFrame, labels: DataFrame, targets: dict[tuple[int, int], float] = TARGETS, repeats: bool = True, most: float = MOST
+) -> DataFrame:
     """The documents as often as their rates say, with all their columns.
 
     Rates are fitted on the table of memberships and applied where the texts are, so no
-    text is shuffled.
+    text is shuffled. A row gives at most ``most`` rows, so a task's output is bounded.
     """
     weights = fit(docs, labels)
     members = common.checkpointed(memberships(docs, weights), "memberships")
-    steps = _steps(members, targets, repeats)
+    steps = _steps(members, targets, repeats, most)
     rows, names = common.appended(docs, _posteriors(weights), MEMBERS)
     number = common.fresh_names(rows, ["number"])[0]
     # explode leaves out rows with no copies.
-    many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), _copies(steps, names).cast("int"))))
+    many = rows.withColumn(number, F.explode(F.array_repeat(F.lit(0), _copies(steps, names, most).cast("int"))))
     return many.select(*map(plain, docs.columns))
 
 

@@ -45,12 +45,40 @@ def test_targets_in_reach(spark):
     assert np.allclose(mixing.reachable(df, np.array([0.8, 0.1, 0.1])), [800, 100, 1])
 
 
-def test_copies_have_the_rate_as_mean(spark):
-    df = spark.range(20_000).selectExpr("id", "2.3D as a", "0.04D as b", "0.97D as c", "0D as d")
-    from pyspark.sql import functions as F
+def least_squares(posteriors, tokens, targets, most, rounds=20_000):
+    """Plain projected gradient steps in numpy, to convergence."""
+    moments = (posteriors * tokens[:, None]).T @ posteriors
+    inverse, rates = np.linalg.inv(moments), np.ones(len(tokens))
+    for _ in range(rounds):
+        rates = np.clip(rates - posteriors @ (inverse @ ((rates * tokens) @ posteriors - targets)), 0, most)
+    return (rates * tokens) @ posteriors
+
+
+@pytest.mark.parametrize("factors, most", [([1, 0.3, 0.6], 64), ([1, 40, 0.1], 3), ([0.2, 1, 90], 8)])
+def test_totals_equal_those_of_a_plain_solver(spark, factors, most):
+    rng = np.random.default_rng(3)
+    posteriors, tokens = rng.dirichlet([0.3] * 3, size=60), rng.integers(1, 90, size=60)
+    targets = (posteriors * tokens[:, None]).sum(0) * factors
+    df = table(spark, posteriors, tokens)
+    steps = mixing.fit_rates(df, targets, rounds=80, most=most)
+    rows = df.withColumn("rate", mixing.rate_of(steps, most=most)).toPandas()
+    assert rows.rate.between(0, most).all()
+    totals = np.stack(rows.posterior).T @ (rows.rate * rows.n_tokens).to_numpy()
+    assert np.abs(totals - least_squares(posteriors, tokens, targets, most)).max() < 1e-2 * targets.sum()
+
 
-    out = df.select(*(mixing.copies(F.col(c), F.xxhash64("id")).alias(c) for c in "abcd")).agg(*(F.avg(c) for c in "abcd")).first()
-    assert abs(out[0] - 2.3) < 0.02 and list(out)[1:] == [0.0, 1.0, 0.0]
+def test_a_domain_of_one_document_is_repeated_so_many_times_only(spark, monkeypatch):
+    posteriors = np.where(np.eye(4, dtype=bool)[[0] * 999 + [2]], 0.997, 0.001)
+    members = table(spark, posteriors, [100] * 1000)
+    monkeypatch.setattr(mixing, "fit", lambda *args: None)
+    monkeypatch.setattr(mixing, "memberships", lambda *args: members)
+    rows = mixing.mixed(None, None, {(1, 0): 0.5, (0, 0): 0.5}, most=20)
+    found = rows.toPandas()
+    assert found.rate.max() <= 20 and found.copies.max() == 20
+    report = {(r["quality"], r["toxic"]): r for r in mixing.achieved(rows, {(1, 0): 0.5, (0, 0): 0.5})}
+    assert report[0, 0]["gap"] > 0.1 and abs(sum(r["achieved"] for r in report.values()) - 1) < 1e-9
+    with pytest.raises(ValueError):
+        mixing.mixed(None, None, most=0.5)
 
 
 def mixed_shares(spark, monkeypatch, held, column, **options):
