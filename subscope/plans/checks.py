@@ -301,6 +301,12 @@ def oracle() -> dict[str, str]:
         "kde_by_label": _density(
             'select churn, "column", v, count(*) as c from vals group by all'
         ),
+        "heavy_categories": "with vals as (select l_returnflag, unnest(['l_linestatus', 'l_quantity', 'l_partkey', "
+        "'l_orderkey', 'l_suppkey']) as \"column\", unnest([l_linestatus, l_quantity::bigint::varchar, l_partkey::varchar, "
+        "l_orderkey::varchar, l_suppkey::varchar]) as category from lineitem), totals as (select \"column\", category, "
+        "count(*) as total from vals group by all having count(*) >= 1e-3 * (select count(*) from lineitem)) "
+        "select vals.\"column\", vals.category, l_returnflag, count(*) as count, total from vals join totals on "
+        "vals.\"column\" = totals.\"column\" and vals.category is not distinct from totals.category group by all",
         "kde_binned": _density(
             'select churn, vals."column", avg(v) as v, count(*) as c '
             'from vals join span on vals."column" = span."column" group by churn, '

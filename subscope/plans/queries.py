@@ -19,6 +19,7 @@ from ..operators import (
     correlation,
     distribution,
     features,
+    heavy,
     metrics,
     modeling,
     moments,
@@ -36,6 +37,7 @@ from . import etl, profiling, streams, training
 SMALL_MODEL = {"maxIter": 3, "maxDepth": 4}
 CV_ROUNDS = 2
 HALVING_ROUNDS = 6
+HEAVY_SHARE = 0.001
 BY_HEART = {"maxIter": 30, "maxDepth": 8, "stepSize": 0.5, "minInstancesPerNode": 1, "minInfoGain": 0.0}
 
 # Records of a file of the streamed folder, so that it has several micro-batches.
@@ -174,6 +176,18 @@ def category_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.category_by_label(fixtures.usage_raw(spark, sf_dir), top=2)
 
 
+def heavy_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of columns with few and with very many values that hold a thousandth of the
+    rows, by return flag, from summaries of the rows of each line number."""
+    lines, path = tables.read_parquet(spark, f"{sf_dir}/lineitem.parquet"), scratch_path(spark, "heavy")
+    names = ("l_linestatus", "l_quantity", "l_partkey", "l_orderkey", "l_suppkey")
+    numbers = [F.col(c).cast("long").cast("string").alias(c) for c in names[1:]]
+    df = lines.select("l_returnflag", "l_linenumber", "l_linestatus", *numbers)
+    for part in range(1, 8):
+        heavy.store_part(df.where(F.col("l_linenumber") == part), path, f"l{part}", names, HEAVY_SHARE)
+    return heavy.heavy_categories(df, HEAVY_SHARE, names, "l_returnflag", counted=heavy.stored(spark, path))
+
+
 def histogram_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = processed(spark, sf_dir)
     return comparable(distribution.histogram_by_label(df, bins=20))
@@ -822,6 +836,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         label_rate,
         category_by_label,
         category_top,
+        heavy_categories,
         histogram_by_label,
         histogram_auto_bins,
         kde_by_label,
