@@ -326,13 +326,21 @@ def oracle() -> dict[str, str]:
         f"{_single('count(*) filter (where churn = 1) / count(*) * 100', 'label_rate')}, "
         f"'{_names(_NUMERIC)}' as numeric_columns, 'area_code' as categorical_columns "
         "from encoded",
-        "profile_job": "with long as (" + _categories(top=False) + ") "
-        "select 'category_by_label' as table_name, count(*) as rows from long "
+        "profile_job": "with long as (" + _categories(top=False) + "), "
+        f"histogram as (select * from ({_histogram(_AUTO_BINS)}) where \"count\" > 0), boxes as ({_processed()}, "
+        f"{_values(FEATURES)} select churn, \"column\", count(*) as n, min(v) < max(v) as curved from vals group by all), "
+        f"profiled as ({_processed()} select count(*) as n, count(distinct churn) as classes, "
+        f"{' + '.join(f'count(*) - count({c})' for c in _NUMERIC)} as missing from processed), "
+        "report as (select 'category_by_label' as table_name, count(*) as rows, sum(\"count\") as counted from long "
         "where \"column\" = 'area_code' "
-        f"union all select 'column_profile', {len(_NUMERIC)} "
-        f"union all select 'correlation_lower', {len(_NUMERIC) * (len(_NUMERIC) - 1) // 2} "
-        "union all select 'label_distribution', count(distinct churn) from long "
-        "union all select 'summary', 1",
+        "union all select 'histogram_by_label', count(*), sum(\"count\") from histogram "
+        "union all select 'density_by_label', 200 * count(*) filter (curved), 0 from boxes "
+        "union all select 'box_stats_by_label', count(*), sum(n) from boxes "
+        f"union all select 'column_profile', {len(_NUMERIC)}, missing from profiled "
+        f"union all select 'correlation_lower', {len(_NUMERIC) * (len(_NUMERIC) - 1) // 2}, 0 "
+        "union all select 'label_distribution', classes, n from profiled "
+        "union all select 'summary', 1, n from profiled) "
+        "select table_name, cast(rows as bigint) as rows, cast(counted as bigint) as counted from report",
         "stream_decode": _events(event_fields, enriched=False),
         "stream_enrich": _events(event_fields, enriched=True, drop=True),
         "stream_parquet_sink": "select case when event_id % 50 = 0 then 'malformed' "
@@ -343,6 +351,10 @@ def oracle() -> dict[str, str]:
         "case when event_id % 50 <> 0 then customer_id end as customer_id, case when event_id % 50 = 0 then '<record>' "
         "when sms_count = 5 then 'sms_count,location_lat' when sms_count = 7 then 'location_lat' else '' end as failing "
         "from event_rows) select customer_id, failing, count(*) as records, count(*) as placed from marked group by all",
+        "stream_compaction": f"with event_rows as ({event_rows_sql()}), decoded as (select case when event_id % 50 <> 0 "
+        "then customer_id end as customer_id, case when event_id % 50 <> 0 then sms_count end as sms_count from event_rows) "
+        "select customer_id, count(*) as events, cast(sum(sms_count) as bigint) as messages, 1 as fewer_files "
+        "from decoded group by customer_id",
         "assembled_features": f"{_processed()} select customer_id, "
         + _names(_single(c, c) for c in FEATURES)
         + f" from processed where {valid}",

@@ -30,7 +30,7 @@ from ..operators import (
 from ..schemas import FEATURES, ID, LABEL
 from ..session import scratch_path
 from ..sources import fixtures, local, run_log, tables
-from ..streaming import decode, keyed, quarantine, scoring, sinks, sources
+from ..streaming import compaction, decode, keyed, quarantine, scoring, sinks, sources
 from . import etl, profiling, streams, training
 
 # A small model that trains in seconds; the full settings are the defaults of training.
@@ -313,23 +313,27 @@ def eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every table of the report written by the job, with its row count."""
+    """Every table of the report written by the job, with its rows and what they count."""
     data, out = scratch_path(spark, "processed"), scratch_path(spark, "report")
     etl.write_processed(spark, fixtures.usage_raw(spark, sf_dir), data)
     profiling.run_profile(spark, data, out)
     names = (
         "category_by_label",
+        "histogram_by_label",
+        "density_by_label",
+        "box_stats_by_label",
         "column_profile",
         "correlation_lower",
         "label_distribution",
         "summary",
     )
-    counts = [
-        tables.read_parquet(spark, f"{out}/{n}").agg(
-            F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("rows")
-        )
-        for n in names
-    ]
+    counts = []
+    for n in names:
+        table = tables.read_parquet(spark, f"{out}/{n}")
+        (number,) = [c for c in table.columns if c in ("count", "total_records", "null_count")] or [None]
+        counted = F.lit(0) if number is None else F.coalesce(F.sum(number), F.lit(0))
+        figures = (F.count(F.lit(1)).alias("rows"), counted.cast("long").alias("counted"))
+        counts.append(table.agg(F.lit(n).alias("table_name"), *figures))
     result = counts[0]
     for other in counts[1:]:
         result = result.unionByName(other)
@@ -404,6 +408,32 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(tables.read_parquet(spark, path))
 
 
+def stream_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in several runs, with a compaction after each, one that was killed before its
+    commit, and the small files deleted after the second: events of each customer, and
+    whether the table has fewer files than batches."""
+    events, path, store = (scratch_path(spark, n) for n in ("events", "sink", "store"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    encoded = fixtures.encoded_events(spark, sf_dir)
+    batches = 0
+    for run in range(3):
+        part = encoded.where(F.pmod(F.xxhash64("value"), F.lit(3)) == run)
+        part.repartition(4).write.mode("append").text(events)
+        source = sources.read_text_files(spark, events, max_files_per_trigger=1)
+        stream = compaction.write_batches(decode.enrich(decode.decode_json(source)), path, checkpoint, available_now=True)
+        stream.awaitTermination()
+        ids = compaction.open_batches(spark, path, compaction.manifest(spark, store))
+        batches += len(ids) - int(run > 0)
+        compaction.write_range(spark, path, store, ids[0], ids[-1])
+        compaction.compact(spark, path, store, least=1)
+        if run == 1:
+            compaction.expire(spark, path, store)
+    table = compaction.read_table(spark, path, store)
+    fewer = len(table.inputFiles()) < batches
+    counted = table.groupBy("customer_id").agg(F.count(F.lit(1)).alias("events"), F.sum("sms_count").alias("messages"))
+    return counted.withColumn("fewer_files", F.lit(int(fewer)))
+
+
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of which some have no JSON or texts in place of numbers, in two runs on one
     checkpoint: how many of each customer are in the table, and with what in quarantine."""
@@ -857,6 +887,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_end_to_end,
         stream_restart,
         stream_quarantine,
+        stream_compaction,
         assembled_features,
         standardized,
         split_sizes,
