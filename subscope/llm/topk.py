@@ -9,8 +9,10 @@ of the coarse score downward, which gives the k-th best coarse score and the row
 every row whose coarse score is within the bound of it is a boundary row and is scored
 exactly from its integers.
 
-Query blocks meet row blocks by an ordinary join on the block number. Only k rows per query
-and row block are shuffled for the final rank.
+Each row travels once, to the task of its block, which indexes the block once; queries, of
+which there are far fewer, are copied for every block and stream past its index. Only k rows
+per query and block are shuffled for the final rank. Of rows that repeat an id and its vector
+at most k can be among k results, so no more of them travel.
 
 Defined cases: vectors that are NULL or hold NULL, NaN or infinite components take no part,
 nor do rows with a NULL id; missing trailing components count as zero; equal scores are
@@ -19,6 +21,8 @@ and separate queries are not (an id is asked once, with its row that is largest
 array); fewer candidates than k give fewer rows; an empty table gives no rows.
 """
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +34,6 @@ from . import common
 
 SCALE = 256
 ROWS = 8192  # rows of an index block
-QUERIES = 128  # queries of a query block
 UPPER_BITS = 5  # slices kept per component
 
 RESULT = "query_id long, vec_id long, score long"
@@ -163,35 +166,60 @@ class SlicedBlock:
         return rows[order], exact[order]
 
 
-def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = ROWS, block_queries: int = QUERIES) -> DataFrame:
+def _answers(block: SlicedBlock, ids: np.ndarray, asked: pa.RecordBatch, k: int) -> pa.RecordBatch:
+    """The k best rows of a block for each query of a batch."""
+    found = [(np.zeros(0, np.int64),) * 3]
+    width = block.rows.shape[1]
+    # Components that no row of the block has meet zeros.
+    wanted = _pad(_matrix(asked.column("x"))[:, :width], width)
+    for query, name in zip(wanted, asked.column("vec_id").to_numpy()):
+        at, score = block.best(query, ids == name, ids, k)
+        found.append((np.full(len(at), name), ids[at], score))
+    columns = [np.concatenate(c) for c in zip(*found)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ("query_id", "vec_id", "score"))
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bool, pa.RecordBatch]]:
+    """Pieces of batches that belong to one block and are rows or queries."""
+    for batch in batches:
+        blocks, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("row_block", "asks"))
+        edges = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(asks) != 0)) + 1
+        for start, end in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)]):
+            if end > start:
+                yield int(blocks[start]), bool(asks[start]), batch.slice(start, end - start)
+
+
+def search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """Answers to the queries of each block, whose rows come first. One block and one batch
+    of queries are in memory."""
+    current, parts, block, ids = None, [], None, None
+    for number, asks, piece in _runs(batches):
+        if number != current:
+            current, parts, block = number, [], None
+        if not asks:
+            parts.append(piece.select(["vec_id", "x"]))
+        elif parts or block is not None:
+            if block is None:
+                table = pa.Table.from_batches(parts).combine_chunks()
+                block, ids, parts = SlicedBlock(_matrix(table.column("x").chunk(0))), table.column("vec_id").to_numpy(), []
+            yield _answers(block, ids, piece, k)
+
+
+def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, block_rows: int = ROWS) -> DataFrame:
     """The k best rows of each query: query_id, rank, vec_id, score.
 
-    Both frames hold vec_id and integer vectors. Blocks are dealt out by a hash of the id.
+    Both frames hold vec_id and integer vectors. Rows are dealt to blocks of about
+    ``block_rows`` by a hash, to at least as many as there are cores.
     """
-    n_rows, n_queries = rows.count(), queries.count()
-    row_blocks, query_blocks = -(-n_rows // block_rows) or 1, -(-n_queries // block_queries) or 1
-    salted = F.xxhash64("vec_id", "x")
-    left = rows.withColumn("row_block", F.pmod(salted, F.lit(row_blocks)).cast("int"))
-    left = left.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-    right = queries.withColumn("query_block", F.pmod(salted, F.lit(query_blocks)).cast("int"))
-    right = right.withColumn("row_block", F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))))
-
-    def search(own: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        if len(own) and len(asked):
-            data, wanted = (_matrix(t.column("x").combine_chunks()) for t in (own, asked))
-            width = max(data.shape[1], wanted.shape[1])
-            data, wanted = _pad(data, width), _pad(wanted, width)
-            ids, asks = (t.column("vec_id").to_numpy() for t in (own, asked))
-            block = SlicedBlock(data)
-            for query, name in zip(wanted, asks):
-                at, score = block.best(query, ids == name, ids, k)
-                found.append((np.full(len(at), name), ids[at], score))
-        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.int64)] * 3
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns)))
-
-    keys = ("row_block", "query_block")
-    local = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, RESULT)
+    copies = rows.groupBy("vec_id", "x").agg(F.count(F.lit(1)).alias("n"))
+    copies = copies.select("vec_id", "x", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)))).alias("copy"))
+    blocks = max(-(-rows.count() // block_rows), rows.sparkSession.sparkContext.defaultParallelism)
+    at = F.pmod(F.xxhash64("vec_id", "x", "copy"), F.lit(blocks)).cast("int").alias("row_block")
+    left = copies.select(at, F.lit(False).alias("asks"), "vec_id", "x")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("row_block")
+    right = queries.select(every, F.lit(True).alias("asks"), "vec_id", "x")
+    dealt = left.unionByName(right).repartitionById(blocks, F.col("row_block"))
+    local = dealt.sortWithinPartitions("row_block", "asks").mapInArrow(lambda batches: search(batches, k), RESULT)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = local.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -26,7 +26,7 @@ def test_equals_brute_force(spark, scale):
     rng = np.random.default_rng(1)
     rows = [(int(i), [float(x) for x in rng.normal(size=9) * scale]) for i in range(300)]
     rows += [(1000 + i, rows[7][1]) for i in range(40)]  # a common vector
-    assert search(spark, rows, block_rows=64, block_queries=10) == brute(rows, 5, 5)
+    assert search(spark, rows, block_rows=64) == brute(rows, 5, 5)
 
 
 def test_edge_cases(spark):
@@ -56,3 +56,16 @@ def test_slices_and_threshold():
         assert block.threshold(score, block.full, 7) == np.sort(coarse)[-7]
         for bound in (0, 5, int(np.median(coarse)), int(coarse.max()) + 1):
             assert block.at_least(score, block.full, bound).tolist() == np.flatnonzero(coarse >= bound).tolist()
+
+
+def test_a_row_that_repeats_travels_k_times(spark):
+    """A third of all rows are one row; its copies are candidates, but no more than k."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(400)] + [(7, [2.0, 2.0, 2.0, 2.0])] * 200
+    assert search(spark, rows, block_rows=50) == brute(rows, 5, 5)
+
+
+def test_queries_wider_and_narrower_than_the_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=1 + i % 6)]) for i in range(120)]
+    assert search(spark, rows, block_rows=10) == brute(rows, 5, 5)
