@@ -411,8 +411,11 @@ def oracle() -> dict[str, str]:
         "cast(regexp_extract(customer_id, '^c([0-9]+)-', 1) as bigint) % 5 as part from processed "
         f"where {valid}) select churn, count(*) filter (part = 1) as held_out, count(*) filter (part <> 1) as fitted, "
         "1 as fewer_trees, 1 as loss_not_above from numbered where part <> 0 group by churn",
-        "evaluation": "select unnest(['f1_score', 'accuracy', 'weighted_precision', "
-        "'weighted_recall', 'auc_roc', 'unscored_rows', 'top_importances']) as metric, 1 as agrees",
+        "evaluation": f"{_processed()}, sizes as (select churn, count(*) as test_rows, "
+        f"count(*) filter (where {valid}) as scored from processed "
+        "where cast(regexp_extract(customer_id, '^c([0-9]+)-', 1) as bigint) % 5 = 0 group by churn) "
+        "select churn, test_rows, scored, metric, 1 as agrees from sizes, (select unnest(['f1_score', 'accuracy', "
+        "'weighted_precision', 'weighted_recall', 'auc_roc', 'unscored_rows', 'top_importances']) as metric)",
         "feature_importance": f"select unnest({list(FEATURES)}) as feature, 1 as in_order, "
         "1e0 as total",
         "run_metrics": "select * from (values "

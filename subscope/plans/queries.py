@@ -9,7 +9,7 @@ so that sums taken in another order compare equal.
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -644,9 +644,30 @@ def early_stopping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _rank_sum(known: DataFrame) -> float:
+    """Sum of the ranks of positive rows by p, ties at their mean rank. The distinct values
+    are dealt out by range; only a count per range reaches the driver."""
+    spark, path = known.sparkSession, scratch_path(known.sparkSession, "ranks")
+    steps = known.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).alias("pos"))
+    dealt = steps.repartitionByRange("p").withColumn("part", F.spark_partition_id())
+    # The numbers of the ranges hold from here on.
+    tables.write_parquet(dealt, path)
+    ranges = tables.read_parquet(spark, path)
+    before, seen = [], 0
+    for part, n in ranges.groupBy("part").agg(F.sum("n")).sort("part").collect():
+        before.append((part, seen))
+        seen += n
+    w = Window.partitionBy("part").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = F.col("seen") + F.coalesce(F.sum("n").over(w), F.lit(0))
+    ranked = ranges.join(local.local_frame(spark, before, "part int, seen long"), "part")
+    ranked = ranked.select((F.col("pos") * (earlier + (F.col("n") + 1) / 2)).alias("r"))
+    return ranked.agg(F.sum("r")).first()[0]
+
+
 def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each figure of the evaluation, and whether it equals one counted from the written
-    predictions; the importances are looked up in the model."""
+    """Each figure of the evaluation per class, with the test rows of the class and those
+    that are scored, and whether it equals one counted from the written predictions; the
+    importances are looked up in the model."""
     train_df, test_df = _parted(processed(spark, sf_dir))
     model = _small_model(train_df).model
     figures = modeling.evaluate(model, test_df)
@@ -661,12 +682,7 @@ def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
         truth, claim = F.col(LABEL) == c, F.col("prediction") == c
         row = known.agg(F.count_if(truth), F.count_if(claim), F.count_if(truth & claim)).first()
         sides.append(tuple(row))
-    # Rank sum with mean ranks of ties, counted from the distinct probabilities.
-    steps = known.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.sum(LABEL).alias("pos"))
-    seen = rank_sum = 0.0
-    for row in sorted(steps.collect()):
-        rank_sum += row["pos"] * (seen + (row["n"] + 1) / 2)
-        seen += row["n"]
+    rank_sum = _rank_sum(known)
     positive, negative = sides[1][0], sides[0][0]
     expected = {
         "f1_score": sum(t * (2 * h / (t + c) if t + c else 0) for t, c, h in sides) / total,
@@ -685,7 +701,9 @@ def evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = [v for k, v in figures.items() if k.startswith("importance_")]
     right = top == sorted(importances.tolist(), reverse=True)[:10]
     rows.append(("top_importances", int(right)))
-    return local.local_frame(spark, rows, "metric string, agrees int")
+    figure = F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.lit(v).alias("agrees")) for k, v in rows]))
+    sizes = written.groupBy(LABEL).agg(F.count(F.lit(1)).alias("test_rows"), F.count("prediction").alias("scored"))
+    return sizes.select("*", figure.alias("figure")).select(LABEL, "test_rows", "scored", "figure.*")
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
