@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from subscope.operators import oversampling
 from subscope.operators.oversampling import balanced, leaves, neighbours, standard_rows, synthetic_rows
 
 COLUMNS = [f"f{i}" for i in range(19)]
@@ -96,3 +97,21 @@ def test_scale_does_not_choose_the_neighbours(spark, table):
     first, second = (standard_rows(t.where("churn = 1"), COLUMNS).select("key", "point").collect() for t in (table, wide))
     second = {r["key"]: r["point"] for r in second}
     assert all(np.allclose(r["point"], second[r["key"]]) for r in first)
+
+
+def test_nothing_is_written_on_the_way_down(spark, monkeypatch):
+    """Groups of several tasks and the levels within them; no table of rows and trees is kept."""
+    written = []
+    monkeypatch.setattr(oversampling, "_written", lambda df, name: written.append(name) or df)
+    monkeypatch.setattr(oversampling, "GROUP_LEAVES", 4)
+    x = np.random.default_rng(5).normal(size=(3000, 3)).round(1)
+    x[:400] = 0.0
+    sizes = leaves(points_frame(spark, x), 3, trees=2, leaf_rows=50).groupBy("tree", "node").count().collect()
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) <= 60 and len(sizes) > 100
+    found = neighbours(points_frame(spark, x[400:]), 3, k=3, leaf_rows=100).collect()
+    assert written == [] and len(found) == 3 * 2600
+    got = {}
+    for r in found:
+        got.setdefault(r["row"], []).append(r["distance"])
+    far = np.sqrt(np.sort(((x[400:, None] - x[None, 400:]) ** 2).sum(axis=2), axis=1))[:, 1:4]
+    assert np.mean([np.allclose(sorted(got[i]), far[i]) for i in range(2600)]) >= 0.9
