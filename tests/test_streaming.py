@@ -1,9 +1,11 @@
 import json
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from subscope.plans import queries
 from subscope.plans.streams import run_stream, start_stream
 from subscope.schemas import EVENT_SCHEMA
 from subscope.streaming.decode import decode_json, enrich
@@ -185,3 +187,14 @@ def test_decoding_stays_in_generated_code(spark, tmp_path):
     write_events(spark, str(tmp_path / "events"), range(3))
     text = plan_of(enrich(decode_json(spark.read.text(str(tmp_path / "events")))))
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_micro_batches_do_not_grow_with_the_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_RECORDS", 8)
+    monkeypatch.setattr(queries, "scratch_path", lambda _, name: str(tmp_path / name))
+    counted = queries.stream_parquet_sink(spark, "/root/testdata/sf0.001").collect()
+    files = [f for f in os.listdir(tmp_path / "events") if f.endswith(".txt")]
+    commits = [f for f in os.listdir(tmp_path / "checkpoint" / "commits") if f.isdigit()]
+    assert len(files) > 2 * queries.MICRO_BATCHES
+    assert 1 < len(commits) <= queries.MICRO_BATCHES
+    assert sum(r["records"] for r in counted) == spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
