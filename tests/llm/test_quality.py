@@ -139,3 +139,32 @@ def test_classifier_edge_cases(spark):
     some = edge.labels(spark, [(7, 1, 0), (7, 1, 0), (9, 0, 0), (None, 0, 0), (2, None, 1), (4, 5, 0)])
     assert len(quality_model.quality_scores(edge.frame(spark), some).collect()) == len(edge.texts())
     assert quality_model.quality_scores(edge.empty(spark), edge.labels(spark)).collect() == []
+
+
+def test_every_labelled_row_counts(spark, monkeypatch):
+    """More labelled rows than the trees can hold: all are drawn from, all calibrate."""
+    monkeypatch.setattr(quality_rules, "TREES", 20)
+    monkeypatch.setattr(quality_rules, "TREE_ROWS", 16)
+    rng = np.random.default_rng(2)
+    n = 12_000
+    shares = rng.normal(0.5, 0.05, size=(n, 8)).astype(np.float32)
+    bad = np.arange(n) % 10 == 0
+    shares[bad, 3] += 3
+    rows = [(i, 100, 500, 0, 0, 0, [float(v) for v in x]) for i, x in enumerate(shares)]
+    stats = spark.createDataFrame(rows, quality_rules.SCHEMA).repartition(4)
+    labels = spark.createDataFrame([(i, int(not b)) for i, b in enumerate(bad)], "doc_id long, quality int")
+    grown = {}
+    real = quality_rules.grow
+    monkeypatch.setattr(quality_rules, "grow", lambda x: grown.setdefault("forest", real(x)))
+    counted = []
+    keep = common.checkpointed
+    monkeypatch.setattr(common, "checkpointed", lambda df, name: counted.append((name, keep(df, name))) or counted[-1][1])
+    forest = quality_rules.fit(stats, labels)
+    rest = dict(counted)["calibration"].toPandas()
+    assert dict(counted)["labelled-statistics"].count() == n and len(rest) > n // 2
+    expected = quality_rules.calibrated(real(shares[~bad][:100]), shares[:10], ~bad[:10])
+    expected.score = lambda x: x
+    scores, good = rest["score"].to_numpy(), rest["good"].to_numpy()
+    assert quality_rules.calibrated(expected, scores, good).threshold == forest.threshold < 1
+    kept = quality_rules.judged(stats, forest).join(labels, "doc_id").where("kept").toPandas()
+    assert (kept["quality"] == 1).sum() >= 0.99 * (~bad).sum()
