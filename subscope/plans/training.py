@@ -20,6 +20,7 @@ from ..operators.modeling import (
 )
 from ..operators.oversampling import balanced
 from ..schemas import FEATURES, ID, LABEL
+from ..session import scratch_path
 from ..sources.run_log import append_run
 from ..sources.tables import read_parquet, write_parquet
 from ..streaming.scoring import customer_scores, unique_scores
@@ -56,7 +57,10 @@ def run_training(
     train_df, test_df = split_by_hash(df)
     skipped = invalid_rows(df)
     if oversample:
-        train_df = balanced(train_df).select(ID, LABEL, *map(plain, FEATURES))
+        # The joins that make the new rows run once, however often a fit reads them.
+        path = scratch_path(spark, "balanced")
+        write_parquet(balanced(train_df).select(ID, LABEL, *map(plain, FEATURES)), path)
+        train_df = read_parquet(spark, path)
     weight = None
     if weighted:
         weight = "class_weight"
