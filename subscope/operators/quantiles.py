@@ -108,11 +108,13 @@ def exact_quantiles(
     by: str | None = None,
     summary: Summary | None = None,
     bins: int = BINS,
+    tolerance: float = 0.0,
 ) -> Summary:
     """Per (class, column index) the order statistics behind the given probabilities.
 
     ``summary`` saves the first pass where it is known already; ranks found are added to
-    it.
+    it. With a ``tolerance`` a value may stand for a rank that is off by that share of the
+    class's values, which saves the last passes.
     """
     found = summary
     if found is None:
@@ -123,9 +125,9 @@ def exact_quantiles(
         interval = _Interval(key, ordered.low, ordered.high, 0)
         for p in probabilities:
             for rank in ordered.positions(p)[:2]:
-                _place(ordered, interval, ordered.count, rank, open_ranks)
+                _place(ordered, interval, ordered.count, rank, open_ranks, tolerance)
     while open_ranks:
-        open_ranks = _narrow(df, columns, slots, found, open_ranks, bins)
+        open_ranks = _narrow(df, columns, slots, found, open_ranks, bins, tolerance)
     return found
 
 
@@ -135,12 +137,17 @@ def _place(
     rows: int,
     rank: int,
     open_ranks: dict[_Interval, set[int]],
+    tolerance: float,
 ) -> None:
     """Settle a rank at an end of its interval, or leave it open."""
+    last = interval.before + rows - 1
     if interval.low == interval.high or rank == interval.before:
         ordered.at_rank[rank] = interval.low
-    elif rank == interval.before + rows - 1:
+    elif rank == last:
         ordered.at_rank[rank] = interval.high
+    elif rows - 1 <= tolerance * ordered.count:
+        nearer_low = rank - interval.before <= last - rank
+        ordered.at_rank[rank] = interval.low if nearer_low else interval.high
     else:
         open_ranks.setdefault(interval, set()).add(rank)
 
@@ -152,6 +159,7 @@ def _narrow(
     found: Summary,
     open_ranks: dict[_Interval, set[int]],
     bins: int,
+    tolerance: float,
 ) -> dict[_Interval, set[int]]:
     intervals = list(open_ranks)
     rows, targets = [], []
@@ -210,5 +218,5 @@ def _narrow(
         before = outer.before + hit["_through"] - hit["n"]
         inner = _Interval(outer.key, hit["low"], hit["high"], before)
         rank = outer.before + hit["_offset"]
-        _place(found[outer.key], inner, hit["n"], rank, still_open)
+        _place(found[outer.key], inner, hit["n"], rank, still_open, tolerance)
     return still_open
