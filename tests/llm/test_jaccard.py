@@ -205,3 +205,20 @@ def test_strays_of_a_large_group_are_dealt_once(spark, monkeypatch):
         tiles.setdefault((r["i"], r["j"]), set()).add(r["node"])
     met = {(a, b) for nodes in tiles.values() for a in nodes for b in nodes}
     assert {(a, b) for a in range(101, 104) for b in range(1, 104)} <= met
+
+
+def test_rows_of_keys_take_little_room():
+    """Rows of one node stand together, so that their shuffle compresses."""
+    keys = np.array([5, 1, 9, 1, 7, 3], dtype=np.int64)
+    nodes = np.array([20, 20, 10, 10, 20, 10], dtype=np.int64)
+    rows = jaccard._combined(keys, nodes).to_pylist()
+    assert [(r["node"], r["key"], r["others"]) for r in rows] == [(10, 1, [20]), (10, 3, []), (10, 9, []), (20, 5, []), (20, 7, [])]
+
+
+def test_keys_that_meet_by_chance_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "KEY_BITS", 5)
+    rows = list(enumerate(family(3, 12) + family(4, 12) + family(5, 3, words=9)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert df.count() > 20
+    assert jaccard.pivot_pairs(df, jaccard.OP1_RULE, 100).count() > 0
+    assert got(jaccard.jaccard_groups(df, jaccard.OP1_RULE)) == brute(rows, jaccard.OP1_RULE)
