@@ -5,6 +5,7 @@ the rest before that token is the encoding of a shorter prefix. So one (last tok
 pair per trie node describes the encodings of all prefixes, and words that share a prefix
 share the work on it. The distinct words of a piece, sorted, are the trie in depth-first
 order: the walk keeps one stack of states and goes back to the common prefix of neighbours.
+A step tries only the lengths of tokens that end in the prefix's last bytes.
 
 A token may follow another if encoding the two together gives back the two; this is read
 off the merges along their touching sides and remembered per pair.
@@ -28,9 +29,10 @@ from . import common
 
 WORD_END = "</w>"
 VOCABULARY = "word_bpe_49k.json"
-CACHED_WORDS = 150_000  # per task; beyond this only the present piece's words stay
+CACHED_WORDS = 150_000  # of a generation; a task remembers two, and what it meets again moves on
 PIECE_BYTES = 4 << 20
 NEVER = 1 << 60
+ONE = (1,)
 
 SCHEMA = "doc_id long, n_tokens long, ids array<int>"
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -49,6 +51,20 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def sizes_by_end(table: dict[bytes, int]) -> dict[bytes, tuple[int, ...]]:
+    """Lengths, longest first, of the tokens that end in three bytes, or in two where no token
+    of three bytes or more ends in the last three. Ends without a key only have a token of
+    one byte."""
+    sizes: dict[bytes, set[int]] = {}
+    for body in table:
+        if len(body) > 1:
+            sizes.setdefault(body[-3:], {1}).add(len(body))
+    for end, found in sizes.items():
+        if len(end) == 3 and end[1:] in table:
+            found.add(2)
+    return {end: tuple(sorted(found, reverse=True)) for end, found in sizes.items()}
+
+
 @dataclass
 class Vocabulary:
     """A word-end BPE vocabulary; read on the driver, of a fixed size."""
@@ -60,7 +76,8 @@ class Vocabulary:
     ranks: dict[tuple[int, int], int]
     special: dict[str, int]
     pattern: str
-    longest: int
+    plain_sizes: dict[bytes, tuple[int, ...]]  # of sizes_by_end
+    final_sizes: dict[bytes, tuple[int, ...]]
     fits: dict[int, bool] = field(default_factory=dict)  # remembered by follows()
 
     @classmethod
@@ -87,8 +104,7 @@ class Vocabulary:
         special = {t["content"]: t["id"] for t in data["added_tokens"]}
         for content, token in special.items():
             names[token] = content
-        longest = max(map(len, [*plain, *final]))
-        return cls(names, plain, final, parts, ranks, special, pattern, longest)
+        return cls(names, plain, final, parts, ranks, special, pattern, sizes_by_end(plain), sizes_by_end(final))
 
     def follows(self, left: int, right: int) -> bool:
         """Does encoding the two tokens' bytes together give the two tokens back?
@@ -122,7 +138,8 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         """Ids of distinct words, each prefix worked on once."""
-        plain, final, follows, longest = self.plain, self.final, self.follows, self.longest
+        fits, follows = self.fits, self.follows
+        inside, closing = (self.plain, self.plain_sizes), (self.final, self.final_sizes)
         out = {}
         coded = sorted((w.encode("utf-8"), w) for w in words)
         last, begin = [-1], [0]  # per depth: last token of the prefix and where it starts
@@ -137,11 +154,20 @@ class Vocabulary:
                     depth += 1
             del last[depth + 1 :], begin[depth + 1 :]
             for at in range(depth + 1, end + 2):
-                table = plain if at <= end else final
-                for start in range(max(0, at - longest), at):
+                table, sizes = inside if at <= end else closing
+                three, two = (at - 3, at - 2) if at > 2 else (0, 0)
+                for size in sizes.get(code[three:at]) or sizes.get(code[two:at]) or ONE:
+                    start = at - size
+                    if start <= 0:
+                        token = None if start else table.get(code[:at])
+                        if token is not None:
+                            break
+                        continue
                     token = table.get(code[start:at])
-                    if token is not None and (start == 0 or follows(last[start], token)):
-                        break
+                    if token is not None:
+                        fit = fits.get(last[start] << 32 | token)
+                        if follows(last[start], token) if fit is None else fit:
+                            break
                 else:
                     raise ValueError(f"no token ends {code[:at]!r}")
                 if at <= end:
@@ -164,6 +190,7 @@ class Encoder:
         self.word = regex.compile(vocabulary.pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")")
         self.known: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.older: dict[str, tuple[tuple[int, ...], str, str]] = {}
 
     def split(self, text: str) -> list[str]:
         """Words of a text after the vocabulary's normalisation; special tokens as they are."""
@@ -178,10 +205,13 @@ class Encoder:
         """Make every word known, the new ones by one walk over their trie."""
         distinct = set().union(*texts)
         new = [w for w in distinct if w not in self.known]
+        again = {w: self.older[w] for w in new if w in self.older}
         if len(self.known) + len(new) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in distinct if w in self.known}
+            again |= {w: self.known[w] for w in distinct if w in self.known}
+            self.older, self.known = self.known, {}
+        self.known |= again
         names, special = self.vocabulary.names, self.vocabulary.special
-        coded = self.vocabulary.encode_words([w for w in new if w not in special])
+        coded = self.vocabulary.encode_words([w for w in new if w not in again and w not in special])
         coded |= {w: (special[w],) for w in new if w in special}
         for word, ids in coded.items():
             self.known[word] = (ids, " ".join(map(str, ids)), " ".join([names[i] for i in ids]))
@@ -233,8 +263,9 @@ def _digests(encoder: Encoder, piece: pa.RecordBatch, words: list[list[str]]) ->
     counts, ids, decoded = [], [], []
     for text in words:
         entries = [known[w] for w in text]
-        counts.append(sum([len(e[0]) for e in entries]))
-        ids.append(_sha(" ".join([e[1] for e in entries])))
+        joined = " ".join([e[1] for e in entries])
+        counts.append(joined.count(" ") + 1 if joined else 0)
+        ids.append(_sha(joined))
         decoded.append(_sha(" ".join([e[2] for e in entries])))
     return pa.RecordBatch.from_arrays(
         [piece.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],

@@ -74,6 +74,26 @@ def test_cache_may_run_over(library, monkeypatch):
         assert ids_of(encoder, text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_the_last_generation_are_not_encoded_again(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_WORDS", 3)
+    vocabulary, worked = bpe.Vocabulary.read(bpe.vocabulary_path()), []
+    walk = vocabulary.encode_words
+    monkeypatch.setattr(vocabulary, "encode_words", lambda words: worked.extend(words) or walk(words))
+    own = bpe.Encoder(vocabulary)
+    for text in ("one two", "three four", "one five", "six one", "three"):
+        assert ids_of(own, text) == ids_of(encoder, text)
+    assert sorted(worked) == sorted(["one", "two", "three", "four", "five", "six"])
+
+
+def test_only_lengths_of_tokens_are_tried(encoder):
+    vocabulary = encoder.vocabulary
+    for table, sizes in ((vocabulary.plain, vocabulary.plain_sizes), (vocabulary.final, vocabulary.final_sizes)):
+        for body in table:
+            tried = sizes.get(body[-3:]) or sizes.get(body[-2:]) or bpe.ONE
+            assert len(body) in tried and tried[-1] == 1 and list(tried) == sorted(set(tried), reverse=True)
+        assert sum(map(len, sizes.values())) < 4 * len(sizes)
+
+
 def test_table_equals_the_library(spark, library):
     docs = common.table(spark, "/root/testdata/sf0.001", "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
