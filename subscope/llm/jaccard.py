@@ -20,7 +20,7 @@ are then still apart. So no group of copies is expanded into pairs, and every li
 different sets is found, or its ends are joined by others.
 
 Shuffled per document: a number of keys that is a fixed share of its set size, pre-combined
-per task; sets travel only for nodes that share a key, and for pairs within the bound.
+per task; bitmaps travel for nodes that share a key, sets only for pairs within the bound.
 
 Defined cases: a document without words has an empty set and links with nothing; with fewer
 words than a shingle the whole sequence is its only shingle; a NULL text is empty; a NULL id
@@ -280,8 +280,13 @@ def _id_places(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def node_sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
-    """node, n, bitmap, data of the nodes in ``pairs``, from one document of each."""
+def node_sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """node, n, bitmap of the nodes in ``pairs``, from one document of each; doc_id, node, data
+    of these documents and a few others; doc_id, node of these documents.
+
+    The sets, which are most of the bytes, are written where they are made. Who needs some of
+    them asks for the documents by the third table.
+    """
     nodes = pairs.select(F.explode(F.array("pivot", "node")).alias("node")).distinct()
     ids = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = common.checkpointed(ids.join(nodes, "node"), "set-owners")
@@ -308,8 +313,10 @@ def node_sets(docs: DataFrame, prints: DataFrame, pairs: DataFrame, rule: Rule)
                 )
 
     found = docs.select("doc_id", "text", place).mapInArrow(run, "doc_id long, node long, n long, bitmap binary, data binary")
+    found = common.checkpointed(found, "node-sets")
     # Rows that repeat an id and its text give a set twice, which only repeats a link.
-    return common.checkpointed(found.join(wanted, ["doc_id", "node"], "left_semi").drop("doc_id"), "node-sets")
+    maps = found.select("doc_id", "node", "n", "bitmap").join(wanted, ["doc_id", "node"], "left_semi")
+    return common.checkpointed(maps.drop("doc_id"), "node-bitmaps"), found.select("doc_id", "node", "data"), wanted
 
 
 def _within(rule: Rule, n: np.ndarray, m: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -318,7 +325,7 @@ def _within(rule: Rule, n: np.ndarray, m: np.ndarray, bits: np.ndarray) -> np.nd
     return close & (bits * (rule.den + rule.num) <= (n + m) * (rule.den - rule.num))
 
 
-def bounded(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def bounded(pairs: DataFrame, maps: DataFrame, rule: Rule) -> DataFrame:
     """Pairs a, b that sizes and bit counts do not rule out."""
 
     def run(batches):
@@ -331,14 +338,17 @@ def bounded(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                 differ[i] = np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()
             yield batch.select(["a", "b"]).filter(pa.array(_within(rule, n, m, differ)))
 
-    left = sets.select(F.col("node").alias("a"), "n", F.col("bitmap").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bitmap").alias("y"))
+    left = maps.select(F.col("node").alias("a"), "n", F.col("bitmap").alias("x"))
+    right = maps.select(F.col("node").alias("b"), F.col("n").alias("m"), F.col("bitmap").alias("y"))
     joined = pairs.join(right, "b").join(left, "a")
     return joined.select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs a, b whose sorted sets are similar: an exact intersection."""
+def verified(pairs: DataFrame, sets: DataFrame, owners: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs a, b whose sorted sets are similar: an exact intersection.
+
+    ``sets`` and ``owners`` are the second and third table of :func:`node_sets`.
+    """
 
     def run(batches):
         for batch in batches:
@@ -351,15 +361,16 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     # Sets are large and few of them may be asked for: only those are moved.
-    ends = {c: common.checkpointed(pairs.select(F.col(c).alias("node")).distinct(), "asked-sets") for c in "ab"}
-    asked = {c: sets.join(ends[c], "node", "left_semi") for c in "ab"}
+    nodes = {c: pairs.select(F.col(c).alias("node")).distinct() for c in "ab"}
+    ends = {c: common.checkpointed(owners.join(nodes[c], "node", "left_semi"), "asked-sets") for c in "ab"}
+    asked = {c: sets.join(ends[c], ["doc_id", "node"], "left_semi") for c in "ab"}
     left = asked["a"].select(F.col("node").alias("a"), F.col("data").alias("x"))
     right = asked["b"].select(F.col("node").alias("b"), F.col("data").alias("y"))
     # The pivots may be in very many pairs, so their side is joined last and not moved on.
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def _families(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+def _families(pairs: DataFrame, groups: DataFrame, maps: DataFrame) -> DataFrame:
     """Rows of all families whose nodes are not all of one group, dealt out in tiles.
 
     ``groups`` holds node, label of nodes that links already join; others stand alone. The
@@ -384,7 +395,7 @@ def _families(pairs: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame
     last = F.when(is_main, F.col("strays")).otherwise(F.col("strays") + F.col("mains")) - 1
     rows = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     tile = (F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    return rows.select("pivot", "node", "label", "block", *tile).join(sets.select("node", "n", "bitmap"), "node")
+    return rows.select("pivot", "node", "label", "block", *tile).join(maps, "node")
 
 
 def _by_tile(batches, compare):
@@ -404,7 +415,7 @@ def _by_tile(batches, compare):
         yield from compare(waiting)
 
 
-def family_pairs(pairs: DataFrame, groups: DataFrame, sets: DataFrame, rule: Rule, every: bool) -> DataFrame:
+def family_pairs(pairs: DataFrame, groups: DataFrame, maps: DataFrame, rule: Rule, every: bool) -> DataFrame:
     """Pairs a, b of a family, of different groups, that bit counts do not rule out.
 
     With ``every`` all such pairs; otherwise only enough of them to join what they would
@@ -447,7 +458,7 @@ def family_pairs(pairs: DataFrame, groups: DataFrame, sets: DataFrame, rule: Rul
                 a, b = node[own[x]], node[y]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    dealt = _families(pairs, groups, sets).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    dealt = _families(pairs, groups, maps).repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
     return dealt.mapInArrow(lambda batches: _by_tile(batches, compare), "a long, b long").distinct()
 
 
@@ -477,14 +488,14 @@ def jaccard_links(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     largest = prints.agg(F.max("n_shingles")).first()[0] or 0
     known = docs.where("doc_id is not null")
     pairs = common.checkpointed(pivot_pairs(known, rule, largest), "pivot-pairs")
-    sets = node_sets(known, prints.where("doc_id is not null"), pairs, rule)
+    maps, sets, owners = node_sets(known, prints.where("doc_id is not null"), pairs, rule)
     stars = pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    close = common.checkpointed(bounded(stars, sets, rule), "bounded-pairs")
-    links = common.checkpointed(verified(close, sets, rule), "pivot-links")
+    close = common.checkpointed(bounded(stars, maps, rule), "bounded-pairs")
+    links = common.checkpointed(verified(close, sets, owners, rule), "pivot-links")
     # First what the closest pairs join; then, of what is still apart, every pair.
     for every in (False, True):
-        rest = common.checkpointed(family_pairs(pairs, connected(links), sets, rule, every), "family-pairs")
-        links = links.unionByName(common.checkpointed(verified(rest, sets, rule), "family-links"))
+        rest = common.checkpointed(family_pairs(pairs, connected(links), maps, rule, every), "family-pairs")
+        links = links.unionByName(common.checkpointed(verified(rest, sets, owners, rule), "family-links"))
     return prints, links
 
 

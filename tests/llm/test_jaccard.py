@@ -222,3 +222,27 @@ def test_keys_that_meet_by_chance_lose_no_link(spark, monkeypatch):
     assert df.count() > 20
     assert jaccard.pivot_pairs(df, jaccard.OP1_RULE, 100).count() > 0
     assert got(jaccard.jaccard_groups(df, jaccard.OP1_RULE)) == brute(rows, jaccard.OP1_RULE)
+
+
+def test_sets_are_written_where_they_are_made(spark, monkeypatch):
+    """Only bitmaps are brought together by document, also where nothing is small enough to broadcast."""
+    monkeypatch.setattr(jaccard.common, "checkpointed", recorded(jaccard.common.checkpointed, plans := {}))
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(words[: 50 + i])) for i in range(6)], "doc_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        groups = jaccard.jaccard_groups(docs, jaccard.Rule()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["component_id"] for r in groups} == {0}
+    assert "Exchange" in plans["node-bitmaps"] and "data" not in plans["node-bitmaps"].split("Scan")[0]
+    assert "Exchange" not in plans["node-sets"]
+
+
+def recorded(checkpointed, plans):
+    def run(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return checkpointed(df, name)
+
+    return run
