@@ -1,15 +1,16 @@
 """Pairwise-complete Pearson correlation.
 
-Two passes: means, then sums of products of the centred columns. In the second pass each
-row becomes one narrow row per column, and the group of column ``i`` sums its products
-with every column ``j``. The plan grows with the columns, not with the pairs, and only
-one small row per column reaches the driver.
+Two passes: means, then sums of products of the centred columns. In the second pass a task
+adds its batches up in matrices of columns by columns, which Spark sums over the tasks. The
+plan does not grow with the columns, and one small row per pair reaches the driver.
 """
 
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import finite, numeric_columns, plain
@@ -45,7 +46,7 @@ def correlation_matrix(
         ).collect()
     }
     partial = {i for i, r in base.items() if r["n"] < r["total"]}
-    sums = {r[INDEX]: r for r in _centred_sums(df, names, base, partial).collect()}
+    sums = {(r["i"], r["j"]): r for r in _centred_sums(df, names, base, partial).collect()}
     rows = [
         (i, names[i], j, names[j], _pearson(i, j, sums, base, partial))
         for i in range(len(names))
@@ -57,55 +58,55 @@ def correlation_matrix(
 def _centred_sums(
     df: DataFrame, names: list[str], base: dict[int, Row], partial: set[int]
 ) -> DataFrame:
-    def centred(i: int) -> Column:
-        mean = base[i]["mean"] if i in base else None
-        return finite(plain(names[i])) - F.lit(0.0 if mean is None else mean)
-
-    narrow = df.select(*[centred(i).alias(f"z{i}") for i in range(len(names))])
-    every = F.array(*[f"z{i}" for i in range(len(names))])
-    v = F.col(VALUE)
-    parts = [F.count(v).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q")]
-    for j in range(len(names)):
-        z = F.col(f"z{j}")
-        parts.append(F.sum(v * z).alias(f"p{j}"))
-        if j in partial:
-            both = F.when(z.isNotNull(), v)
-            parts += [
-                F.count(both).alias(f"n{j}"),
-                F.sum(both).alias(f"s{j}"),
-                F.sum(both * both).alias(f"q{j}"),
-                F.min(both).alias(f"low{j}"),
-                F.max(both).alias(f"high{j}"),
-            ]
-    return (
-        narrow.select("*", F.posexplode(every).alias(INDEX, VALUE))
-        .where(v.isNotNull())
-        .groupBy(INDEX)
-        .agg(*parts)
-    )
+    """Per pair the sum of products ``p`` of the rows that have both, and of column ``i`` in
+    these rows the number, sum, sum of squares and, where ``j`` has gaps, the extremes."""
+    width, gaps = len(names), sorted(partial)
+    whole = [j for j in range(width) if j not in partial]
+    means = np.array([(base[i]["mean"] if i in base else None) or 0.0 for i in range(width)])
+
+    def run(batches):
+        p, n, s, q = np.zeros((4, width, width))
+        low, high = np.full((width, width), np.inf), np.full((width, width), -np.inf)
+        for batch in batches:
+            values = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]
+            x = np.stack(values, axis=1).astype(np.float64)
+            known = np.isfinite(x)
+            z = np.where(known, x - means, 0.0)
+            p += z.T @ z
+            there = known[:, gaps].astype(np.float64)
+            for total, x in ((n, known.astype(np.float64)), (s, z), (q, z * z)):
+                total[:, whole] += x.sum(axis=0)[:, None]
+                total[:, gaps] += x.T @ there
+            for j in gaps:
+                both = known & known[:, [j]]
+                low[:, j] = np.minimum(low[:, j], np.where(both, z, np.inf).min(axis=0, initial=np.inf))
+                high[:, j] = np.maximum(high[:, j], np.where(both, z, -np.inf).max(axis=0, initial=-np.inf))
+        i, j = (x.ravel() for x in np.indices((width, width), dtype=np.int32))
+        figures = [m.ravel() for m in (n.astype(np.int64), p, s, q, low, high)]
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (i, j, *figures))), names=["i", "j", "n", "p", "s", "q", "low", "high"])
+
+    narrow = df.select(*[finite(plain(c)).alias(f"z{i}") for i, c in enumerate(names)])
+    parts = narrow.mapInArrow(run, "i int, j int, n long, p double, s double, q double, low double, high double")
+    totals = [F.sum(c).alias(c) for c in "npsq"]
+    return parts.groupBy("i", "j").agg(*totals, F.min("low").alias("low"), F.max("high").alias("high"))
 
 
 def _spread(
-    i: int, j: int, sums: dict[int, Row], base: dict[int, Row], partial: set[int]
+    i: int, j: int, sums: dict[tuple[int, int], Row], base: dict[int, Row], partial: set[int]
 ) -> tuple[int, float, float]:
     """Rows, sum and sum of squared deviations of column i where j is present."""
-    r = sums[i]
-    suffix = str(j) if j in partial else ""
-    n, s, q = r[f"n{suffix}"], r[f"s{suffix}"], r[f"q{suffix}"]
+    r = sums[i, j]
+    n, s, q = r["n"], r["s"], r["q"]
     if n == 0:
         return 0, 0.0, 0.0
-    low, high = (
-        (r[f"low{j}"], r[f"high{j}"])
-        if j in partial
-        else (base[i]["low"], base[i]["high"])
-    )
+    low, high = (r["low"], r["high"]) if j in partial else (base[i]["low"], base[i]["high"])
     return n, s, (q - s * s / n if low != high else 0.0)
 
 
 def _pearson(
-    i: int, j: int, sums: dict[int, Row], base: dict[int, Row], partial: set[int]
+    i: int, j: int, sums: dict[tuple[int, int], Row], base: dict[int, Row], partial: set[int]
 ) -> float | None:
-    if i not in sums or j not in sums:
+    if (i, j) not in sums:
         return None
     n, s_i, d_i = _spread(i, j, sums, base, partial)
     _, s_j, d_j = _spread(j, i, sums, base, partial)
@@ -113,9 +114,8 @@ def _pearson(
         return None
     if i == j:
         return 1.0
-    # From the lower position's sums for both orders, so that the matrix is symmetric.
-    lower, upper = min(i, j), max(i, j)
-    shared = sums[lower][f"p{upper}"] - s_i * s_j / n
+    # From one of the two orders, so that the matrix is symmetric.
+    shared = sums[min(i, j), max(i, j)]["p"] - s_i * s_j / n
     value = shared / (math.sqrt(d_i) * math.sqrt(d_j))
     return max(-1.0, min(1.0, value))
 

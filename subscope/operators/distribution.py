@@ -16,10 +16,18 @@ from .longform import (
     INDEX,
     SLOT,
     VALUE,
+    Slots,
     long_values,
     slots_of,
 )
-from .quantiles import Summary, class_summary, exact_quantiles, over_classes
+from .quantiles import (
+    Summary,
+    bins_over_classes,
+    class_bins,
+    class_summary,
+    exact_quantiles,
+    over_classes,
+)
 
 # Grid points evaluated together in the density; a power of two below the field limit of
 # whole-stage code generation.
@@ -55,6 +63,7 @@ def histogram_by_label(
     bins: int | str = "auto",
     summary: Summary | None = None,
     empty_bins: bool | None = None,
+    binned: DataFrame | None = None,
 ) -> DataFrame:
     """Counts and densities per class over bin edges shared by all classes.
 
@@ -63,13 +72,15 @@ def histogram_by_label(
     derives the number of bins from the whole column; a heavy tail makes it very large,
     so only occupied bins are returned, which the rows bound, and any edge follows from
     ``bin`` and the edges of another bin. ``summary``, the
-    :func:`class_summary` of these columns, saves a pass where it is known already.
+    :func:`class_summary` of these columns, saves a pass where it is known already, and
+    ``binned``, their :func:`class_bins`, another one.
     """
     names = numeric_columns(df, columns, {label})
     per_class = summary or class_summary(df, names, label)
     whole = over_classes(per_class)
     if bins == "auto":
-        exact_quantiles(df, names, (0.25, 0.75), summary=whole)
+        counted = None if binned is None else bins_over_classes(binned, names)
+        exact_quantiles(df, names, (0.25, 0.75), summary=whole, counted=counted)
     edges = {}
     for (_, index), o in whole.items():
         number = bins
@@ -146,6 +157,7 @@ def density_by_label(
     grid: int = 200,
     resolution: int | None = DENSITY_RESOLUTION,
     summary: Summary | None = None,
+    binned: DataFrame | None = None,
 ) -> DataFrame:
     """Gaussian kernel density per class on a grid shared by all classes.
 
@@ -156,6 +168,7 @@ def density_by_label(
     the work and the shuffle per class by the bins instead of the distinct values. As the
     mean is kept, the error of a point is of second order in the bin's width over the
     bandwidth. ``resolution=None`` lets every value enter as it is, see :func:`_exact_sums`.
+    ``binned``, the :func:`class_bins` with that resolution, saves the pass over the values.
     """
     names = numeric_columns(df, columns, {label})
     per_class = summary or class_summary(df, names, label)
@@ -185,15 +198,8 @@ def density_by_label(
         starts = slots.frame(df, {key: (per_class[key].low,) for key in shapes}, [("_from", T.DoubleType())])
         summed = _exact_sums(placed, shape.join(F.broadcast(starts.select(SLOT, "_from")), SLOT), grid)
     else:
-        spans = local_frame(
-            df.sparkSession,
-            [
-                (slots.number(g, i), whole[0, i].low, whole[0, i].high)
-                for g, i in shapes
-            ],
-            f"{SLOT} int, _from double, _to double",
-        )
-        summed = _binned_sums(placed, shape, spans, grid, resolution)
+        gathered = binned if binned is not None else class_bins(df, names, label, per_class, resolution)
+        summed = _binned_sums(gathered, shape, grid)
     scale = F.col("_rows") * F.col("_bandwidth") * math.sqrt(2 * math.pi)
     return summed.join(shape, SLOT).select(
         F.col(GROUP).alias(label),
@@ -242,16 +248,8 @@ def _exact_sums(placed: DataFrame, shape: DataFrame, grid: int) -> DataFrame:
     return met.groupBy(SLOT, "_point").agg(F.sum(kernels).alias("_sum"))
 
 
-def _binned_sums(placed: DataFrame, shape: DataFrame, spans: DataFrame, grid: int, resolution: int) -> DataFrame:
+def _binned_sums(gathered: DataFrame, shape: DataFrame, grid: int) -> DataFrame:
     """Slot, ``_point`` and the sum of the kernels of the means of equal bins."""
-    width = (F.col("_to") - F.col("_from")) / resolution
-    bin_number = bin_guess(F.col(VALUE), F.col("_from"), width, F.lit(resolution))
-    gathered = (
-        placed.join(F.broadcast(spans), SLOT)
-        .groupBy(SLOT, bin_number.alias("_bin"))
-        .agg(F.avg(VALUE).alias(VALUE), F.count(VALUE).alias("_n"))
-    )
-
     # Each gathered value meets the grid in blocks of neighbouring points. One block is
     # one narrow row with a fixed set of sums, combined before the shuffle.
     blocks = math.ceil(grid / GRID_BLOCK)
@@ -259,11 +257,11 @@ def _binned_sums(placed: DataFrame, shape: DataFrame, spans: DataFrame, grid: in
     spread = (
         gathered.join(shape, SLOT)
         .select(
-            *[SLOT, VALUE, "_n", "_low", "_step", "_bandwidth"],
+            *[SLOT, VALUE, "n", "_low", "_step", "_bandwidth"],
             F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
         )
         .select(
-            *[SLOT, "_block", "_n"],
+            *[SLOT, "_block", "n"],
             ((start - F.col(VALUE)) / F.col("_bandwidth")).alias("_offset"),
             (F.col("_step") / F.col("_bandwidth")).alias("_pace"),
         )
@@ -271,7 +269,7 @@ def _binned_sums(placed: DataFrame, shape: DataFrame, spans: DataFrame, grid: in
 
     def kernel(k: int) -> Column:
         distance = F.col("_offset") + k * F.col("_pace")
-        return F.sum(F.col("_n") * F.exp(-0.5 * distance * distance))
+        return F.sum(F.col("n") * F.exp(-0.5 * distance * distance))
 
     summed = spread.groupBy(SLOT, "_block").agg(
         *[kernel(k).alias(f"_k{k}") for k in range(GRID_BLOCK)]
@@ -291,12 +289,15 @@ def box_stats_by_label(
     method: str = "exact",
     accuracy: int = 10_000,
     summary: Summary | None = None,
+    binned: DataFrame | None = None,
 ) -> DataFrame:
     """Quartiles, whiskers and outlier counts per class.
 
     Whiskers reach the furthest value within 1.5 interquartile ranges of the box.
     ``method="approx"`` takes values whose ranks are within a share of ``1 / accuracy`` of
-    the quartiles', which saves passes.
+    the quartiles', which saves passes. ``binned``, the :func:`class_bins` of these columns,
+    goes with ``summary`` and saves the first pass for quartiles; whiskers and outliers are
+    then counted from it, but for bins that a fence cuts.
     """
     names = numeric_columns(df, columns, {label})
     quartiles = (0.25, 0.5, 0.75)
@@ -306,7 +307,7 @@ def box_stats_by_label(
         # Ranks found nearly stay out of what exact ones may be added to.
         summary = {key: replace(o, at_rank={}) for key, o in summary.items()}
     tolerance = 0.0 if method == "exact" else 1 / accuracy
-    ordered = exact_quantiles(df, names, quartiles, label, summary, tolerance=tolerance)
+    ordered = exact_quantiles(df, names, quartiles, label, summary, tolerance=tolerance, counted=binned)
     boxes = {key: (o.count, [o.quantile(p) for p in quartiles]) for key, o in ordered.items()}
 
     shapes = {}
@@ -327,16 +328,18 @@ def box_stats_by_label(
     )
     inside = F.col(VALUE).between(F.col("_floor"), F.col("_ceiling"))
     fences = shape.select(SLOT, "_floor", "_ceiling")
+    fenced = slots.long(df, dict(enumerate(names))).join(F.broadcast(fences), SLOT)
+    found = (
+        F.min(F.when(inside, F.col(VALUE))).alias("_lowest"),
+        F.max(F.when(inside, F.col(VALUE))).alias("_highest"),
+        F.count_if(~inside).alias("outliers"),
+    )
+    if binned is None:
+        sides = fenced.groupBy(SLOT).agg(*found)
+    else:
+        sides = _sides(fenced, found, binned, fences, slots, shapes)
     return (
-        slots.long(df, dict(enumerate(names)))
-        .join(F.broadcast(fences), SLOT)
-        .groupBy(SLOT)
-        .agg(
-            F.min(F.when(inside, F.col(VALUE))).alias("_lowest"),
-            F.max(F.when(inside, F.col(VALUE))).alias("_highest"),
-            F.count_if(~inside).alias("outliers"),
-        )
-        .join(shape, SLOT)
+        sides.join(shape, SLOT)
         .select(
             F.col(GROUP).alias(label),
             name_at(names, F.col(INDEX)).alias("column"),
@@ -349,3 +352,27 @@ def box_stats_by_label(
             "outliers",
         )
     )
+
+
+def _sides(fenced, found, binned: DataFrame, fences: DataFrame, slots: Slots, shapes: dict) -> DataFrame:
+    """Slot, furthest values inside the fences and number of those outside."""
+    met = binned.join(F.broadcast(fences), SLOT)
+    floor, ceiling = F.col("_floor"), F.col("_ceiling")
+    cut = ((F.col("low") < floor) & (F.col("high") >= floor)) | ((F.col("low") <= ceiling) & (F.col("high") > ceiling))
+    inside = F.col("low").between(floor, ceiling)
+    whole = met.where(~cut).groupBy(SLOT).agg(
+        F.min(F.when(inside, F.col("low"))).alias("_lowest"),
+        F.max(F.when(inside, F.col("high"))).alias("_highest"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+    )
+    # A bin is cut by at most two fences, so there are at most two per slot.
+    edges = met.where(cut).select(SLOT, "low", "high")
+    values = fenced.join(F.broadcast(edges), SLOT).where(F.col(VALUE).between(F.col("low"), F.col("high")))
+    # Slots of columns that do not vary have no bins, and no value outside.
+    flat = local_frame(
+        fenced.sparkSession,
+        [(slots.number(*key), s[1], s[1], 0) for key, s in shapes.items()],
+        f"{SLOT} int, _lowest double, _highest double, outliers long",
+    ).join(binned.select(SLOT).distinct(), SLOT, "left_anti")
+    parts = whole.unionByName(values.groupBy(SLOT).agg(*found)).unionByName(flat)
+    return parts.groupBy(SLOT).agg(F.min("_lowest").alias("_lowest"), F.max("_highest").alias("_highest"), F.sum("outliers").alias("outliers"))

@@ -15,6 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import bin_guess
 from ..sources.local import local_frame
 from .longform import (
     GROUP,
@@ -109,12 +110,14 @@ def exact_quantiles(
     summary: Summary | None = None,
     bins: int = BINS,
     tolerance: float = 0.0,
+    counted: DataFrame | None = None,
 ) -> Summary:
     """Per (class, column index) the order statistics behind the given probabilities.
 
     ``summary`` saves the first pass where it is known already; ranks found are added to
     it. With a ``tolerance`` a value may stand for a rank that is off by that share of the
-    class's values, which saves the last passes.
+    class's values, which saves the last passes. ``counted``, the counts of :func:`in_bins`
+    under the slots of ``summary``, takes the place of the first narrowing pass.
     """
     found = summary
     if found is None:
@@ -127,10 +130,56 @@ def exact_quantiles(
             for rank in ordered.positions(p)[:2]:
                 _place(ordered, interval, ordered.count, rank, open_ranks, tolerance)
     while open_ranks:
-        open_ranks = _narrow(df, columns, slots, found, open_ranks, bins, tolerance)
+        if counted is None:
+            open_ranks = _narrow(df, columns, slots, found, open_ranks, bins, tolerance)
+        else:
+            ids = [(i, slots.number(*interval.key)) for i, interval in enumerate(open_ranks)]
+            bounds = local_frame(df.sparkSession, ids, f"_id int, {SLOT} int")
+            first = counted.join(F.broadcast(bounds), SLOT).select("_id", "_bin", "n", "low", "high")
+            open_ranks, counted = _hits(first, found, open_ranks, tolerance), None
     return found
 
 
+def in_bins(values: DataFrame, spans: DataFrame, number: int) -> DataFrame:
+    """Per slot and equal-width bin of its span the mean, count and extremes of the values.
+
+    ``values`` are those of ``Slots.long``; ``spans`` has a row (slot, ``_from``, ``_to``)
+    per slot that is wanted.
+    """
+    width = (F.col("_to") - F.col("_from")) / number
+    bin_number = bin_guess(F.col(VALUE), F.col("_from"), width, F.lit(number))
+    return (
+        values.join(F.broadcast(spans), SLOT)
+        .groupBy(SLOT, bin_number.alias("_bin"))
+        .agg(
+            F.avg(VALUE).alias(VALUE),
+            F.count(VALUE).alias("n"),
+            F.min(VALUE).alias("low"),
+            F.max(VALUE).alias("high"),
+        )
+    )
+
+
+def class_bins(df: DataFrame, columns: Sequence[str], by: str, summary: Summary, number: int) -> DataFrame:
+    """:func:`in_bins` of all classes, over the span of each column that varies."""
+    slots, whole = slots_of(summary, by, columns), over_classes(summary)
+    # The least double keeps the bins of a span of a few of them from having no width.
+    spans = [
+        (slots.number(g, i), whole[0, i].low, max(whole[0, i].high, whole[0, i].low + number * 5e-324))
+        for g, i in summary
+        if whole[0, i].low != whole[0, i].high
+    ]
+    spans = local_frame(df.sparkSession, spans, f"{SLOT} int, _from double, _to double")
+    return in_bins(slots.long(df, dict(enumerate(columns))), spans, number)
+
+
+def bins_over_classes(binned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The counts of :func:`class_bins` under the slots of the group of no class."""
+    column = (F.col(SLOT) % len(columns)).alias(SLOT)
+    totals = (F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    return binned.groupBy(column, "_bin").agg(*totals)
+
+
 def _place(
     ordered: Ordered,
     interval: _Interval,
@@ -162,7 +211,7 @@ def _narrow(
     tolerance: float,
 ) -> dict[_Interval, set[int]]:
     intervals = list(open_ranks)
-    rows, targets = [], []
+    rows = []
     for i, interval in enumerate(intervals):
         # Halving keeps the width finite for ends of opposite sign and huge size.
         scale = 1.0 if math.isfinite(interval.high - interval.low) else 0.5
@@ -170,7 +219,6 @@ def _narrow(
         width = interval.high * scale - start
         slot = slots.number(*interval.key)
         rows.append((i, slot, interval.low, interval.high, scale, start, width))
-        targets += [(i, rank - interval.before) for rank in open_ranks[interval]]
 
     spark = df.sparkSession
     bounds = local_frame(
@@ -179,8 +227,6 @@ def _narrow(
         f"_id int, {SLOT} int, _low double, _high double, _scale double, "
         "_start double, _width double",
     )
-    wanted = local_frame(spark, targets, "_id int, _offset long")
-
     # Both small frames have at most a few rows per (class, column) pair, and the number
     # of pairs is checked when the summary is collected. Columns whose ranks are all
     # settled are not read again.
@@ -200,7 +246,20 @@ def _narrow(
             F.max(VALUE).alias("high"),
         )
     )
-    # At most `bins` rows per interval reach the window.
+    return _hits(counted, found, open_ranks, tolerance)
+
+
+def _hits(
+    counted: DataFrame,
+    found: Summary,
+    open_ranks: dict[_Interval, set[int]],
+    tolerance: float,
+) -> dict[_Interval, set[int]]:
+    """Settle or narrow the open ranks by the counts of the bins of their intervals."""
+    intervals = list(open_ranks)
+    targets = [(i, rank - interval.before) for i, interval in enumerate(intervals) for rank in open_ranks[interval]]
+    wanted = local_frame(counted.sparkSession, targets, "_id int, _offset long")
+    # At most as many rows per interval as it has bins reach the window.
     through = F.sum("n").over(Window.partitionBy("_id").orderBy("_bin"))
     hits = (
         counted.withColumn("_through", through)
