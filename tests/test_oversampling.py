@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from subscope.operators import oversampling
 from subscope.operators.oversampling import balanced, leaves, neighbours, standard_rows, synthetic_rows
 
+from .conftest import plan_of
+
 COLUMNS = [f"f{i}" for i in range(19)]
 
 
@@ -115,3 +117,31 @@ def test_nothing_is_written_on_the_way_down(spark, monkeypatch):
         got.setdefault(r["row"], []).append(r["distance"])
     far = np.sqrt(np.sort(((x[400:, None] - x[None, 400:]) ** 2).sum(axis=2), axis=1))[:, 1:4]
     assert np.mean([np.allclose(sorted(got[i]), far[i]) for i in range(2600)]) >= 0.9
+
+
+def test_a_few_trees_at_a_time_find_the_same(spark, monkeypatch):
+    """What earlier trees have found is written in one piece per row, and its files go when the
+    next ones are; a write leaves no shuffle files and the session's setting as it was."""
+    monkeypatch.setattr(oversampling, "TREES_AT_ONCE", 2)
+    written, real = [], oversampling._written
+    monkeypatch.setattr(oversampling, "_written", lambda df, name: written.append(real(df, name)) or written[-1])
+    x = np.random.default_rng(7).normal(size=(600, 4)).round(1)
+    points = points_frame(spark, x).cache()
+    expected = {(r["row"], r["rank"]): (r["other"], r["distance"]) for r in neighbours(points, 4, 3, 5, 40).collect()}
+    found = oversampling._neighbours_in_steps(points, 4, 3, 5, 40)
+    got = {(r["row"], i + 1): pair for r in found.collect() for i, pair in enumerate(zip(r["others"], r["distances"]))}
+    assert got == expected and len(written) == 3 and spark.conf.get(oversampling.CLEANED) == "false"
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(t.inputFiles()[0]) for t in written]
+    there = [p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) for p in paths]
+    assert there == [False, False, True]
+    points.unpersist()
+
+
+def test_rows_of_the_table_are_not_joined(spark):
+    """New rows know that their gap is set, so that the two sides of the table are told apart
+    without making the new rows twice."""
+    rows = [(f"c{i}", int(i % 5 == 0), *(float(i * j % 17) for j in range(1, 20))) for i in range(60)]
+    df = spark.createDataFrame(rows, f"customer_id string, churn int, {', '.join(f'{c} double' for c in COLUMNS)}")
+    out = balanced(df, features=COLUMNS, trees=2, leaf_rows=16)
+    assert "Join" not in plan_of(out.where("gap is null")) and "Union" not in plan_of(out.where("gap is not null"))
+    assert out.where("gap is null").count() == 60 and out.where("gap is not null").count() == 12 * 3
